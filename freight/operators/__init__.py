@@ -17,6 +17,7 @@ from freight.operators.report import (
     dedupe,
     distinct_descending,
     flatten_star,
+    joined_deliveries,
     last_period,
     month_before_latest,
     row_counts,
@@ -40,6 +41,7 @@ __all__ = [
     "enrich_with_lanes",
     "fan_out",
     "flatten_star",
+    "joined_deliveries",
     "key_tests",
     "last_period",
     "malformed_lanes",

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from freight.contract import KEY, LANE, LANE_ARROW, LANE_COMMA, RAW_DATE_FORMAT
 from freight.functions.casts import cast_or_null
 from freight.functions.datetimes import parse_wall_clock
+from freight.functions.text import delimited_parts, part_at
 
 
 class KeyNotUnique(ValueError):
@@ -69,8 +70,10 @@ def parse_failures(df: DataFrame, column: str, date_format: str = RAW_DATE_FORMA
 
 def malformed_lanes(df: DataFrame, lane: str = LANE) -> DataFrame:
     """Rows whose lane is not two ends of exactly a city and a state each."""
-    ends = F.split(F.col(lane), LANE_ARROW)
-    sound = (F.size(ends) == 2) & F.forall(ends, lambda end: F.size(F.split(end, LANE_COMMA)) == 2)
+    ends = delimited_parts(F.col(lane), LANE_ARROW)
+    sound = F.size(ends) == 2
+    for position in (0, 1):
+        sound &= F.size(delimited_parts(part_at(ends, position), LANE_COMMA)) == 2
     return df.where(F.col(lane).isNotNull() & ~sound)
 
 

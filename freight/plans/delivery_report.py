@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from freight.operators.report import dedupe, flatten_star, last_period
+from freight.operators.report import flatten_star, joined_deliveries, last_period
 
 
 def last_month_report(
@@ -14,10 +14,18 @@ def last_month_report(
 ) -> DataFrame:
     """The flattened star, one month before its latest delivery, each row once.
 
-    The latest delivery is that of the joined rows.  Where the star was built in
-    ``single`` mode every table holds the same keys, so ``keys_checked=True`` takes the
-    latest date from ``dim_delivery`` alone: a scan of one column instead of a second run
-    of the five joins.
+    In general the tables may repeat keys or hold different ones.  Copies are then
+    dropped from each table before the joins, and the latest delivery is taken over the
+    keys that all tables share.
+
+    ``keys_checked=True`` says that the star was built in ``single`` mode: every table has
+    the same keys, none of them twice.  The joined rows are then distinct as they are,
+    and the latest date is that of ``dim_delivery`` alone, a scan of one column.
     """
-    anchor = star["dim_delivery"].where("load_id IS NOT NULL") if keys_checked else None
-    return dedupe(last_period(flatten_star(star), "delivery_date", mode, anchor))
+    if keys_checked:
+        anchor = star["dim_delivery"].where("load_id IS NOT NULL")
+    else:
+        anchor = joined_deliveries(star)
+    return last_period(
+        flatten_star(star, distinct=not keys_checked), "delivery_date", mode, anchor
+    )

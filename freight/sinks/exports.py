@@ -14,7 +14,7 @@ def export_csv(
 
     ``header=True`` is the form sent to other systems, ``header=False`` the report
     export.  ``mode="error"`` refuses to replace an existing export.  Blanks at the
-    ends of a value are kept.
+    ends of a value are kept; an empty text reads back as NULL.
     """
     settings = {
         "header": header,

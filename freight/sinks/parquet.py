@@ -48,13 +48,16 @@ def save_table(
 
     With ``buckets``, rows are placed by ``key`` so that tables of equal bucket count
     join on it without a shuffle.  The repartition uses the same hash as the buckets,
-    so each task fills one bucket file.  ``sort_within`` orders the rows of each file,
-    which lets a later filter on those columns skip row groups.
+    so each task fills one bucket file; rows without a key stay in their own tasks rather
+    than meet in one.  ``sort_within`` orders the rows of each file, which lets a later
+    filter on those columns skip row groups.
     """
     spark = df.sparkSession
     ensure_database(spark, name, path.rsplit("/", 1)[0] if path else None)
     if buckets:
-        writer = df.repartition(buckets, key).write.bucketBy(buckets, key)
+        keyed = df.where(F.col(key).isNotNull()).repartition(buckets, key)
+        rows = keyed.unionAll(df.where(F.col(key).isNull()))
+        writer = rows.write.bucketBy(buckets, key)
         if sort_within:
             writer = writer.sortBy(*sort_within)
     else:

@@ -60,9 +60,11 @@ def unreadable_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _read_by_layout(spark: SparkSession, folder: str) -> list[DataFrame]:
-    # Paths reach the driver here, as they do in every file scan Spark plans.
+    # Paths reach the driver here, as they do in every file scan Spark plans; the
+    # schema texts, far longer than a path, stay behind as digests.
+    files = _footers(spark, folder).select("path", "reason", F.md5("layout").alias("layout"))
     by_layout: dict[str, list[str]] = {}
-    for row in _footers(spark, folder).collect():
+    for row in files.collect():
         if row.layout is None:
             log.warning("skipping %s: %s", row.path, row.reason)
         else:

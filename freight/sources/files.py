@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def listing(spark: SparkSession, folder: str) -> DataFrame:
-    """Every data file below ``folder``: ``path``, ``length``, ``modified``.
+    """Every data file below ``folder`` that is not empty: ``path``, ``length``, ``modified``.
 
     Only file status is read; the binary reader skips the content column.  The scan
     is planned in a child session that packs whole terabytes into one split, because

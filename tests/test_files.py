@@ -1,0 +1,250 @@
+"""Reading and writing files: CSV drops, partitions, folders, drift, catalog."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from freight.contract import KEY, RAW, STAGED
+from freight.plans import hand_over_latest_drop, ingest
+from freight.sinks import bucket_count, export_csv, save_table, write_partitioned
+from freight.sources import (
+    inventory,
+    latest_file,
+    latest_folder,
+    read_csv,
+    read_latest_csv,
+    read_staged,
+    read_tables,
+    read_with_drift,
+    register_table,
+    registered_tables,
+    rejected_rows,
+    table_paths,
+    unreadable_files,
+)
+from freight.workspace import shared_folder
+
+from .conftest import rows_of
+
+SMALL = T.StructType.fromJson(
+    {
+        "type": "struct",
+        "fields": [
+            {"name": name, "type": kind, "nullable": True, "metadata": {}}
+            for name, kind in [("id", "long"), ("name", "string"), ("price", "double"), ("ok", "boolean")]
+        ],
+    }
+)
+
+
+def write(path, text):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(text)
+    return str(path)
+
+
+# -- CSV ---------------------------------------------------------------------
+
+
+def test_csv_values(spark, tmp_path):
+    path = write(
+        tmp_path / "drop" / "a.csv",
+        'id,name,price,ok\n1,"x, y",2.5,true\n2,,,\n3,"say ""hi""",abc,false\nfour, z ,4,TRUE\n',
+    )
+    want = [(1, "x, y", 2.5, True), (2, None, None, None), (3, 'say "hi"', None, False), (None, " z ", 4.0, True)]
+    assert [tuple(row) for row in read_csv(spark, path, SMALL).collect()] == want
+
+
+def test_csv_rejected_rows_are_counted_whole(spark, tmp_path):
+    write(tmp_path / "a.csv", "id,name,price,ok\n1,x,abc,true\n2,y,2,true\n3,z,1,maybe\n")
+    rows = read_csv(spark, str(tmp_path), SMALL, keep_rejected=True)
+    bad = rejected_rows(rows)
+    assert bad.count() == 2
+    assert {tuple(row) for row in bad.select("id", "_rejected").collect()} == {(1, "1,x,abc,true"), (3, "3,z,1,maybe")}
+
+
+def test_csv_reordered_header_is_an_error(spark, tmp_path):
+    write(tmp_path / "a.csv", "name,id,price,ok\nx,1,2,true\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        read_csv(spark, str(tmp_path), SMALL).collect()
+
+
+def test_csv_inferred(spark, tmp_path):
+    write(tmp_path / "a.csv", "b,a\n1,x\n2,y\n")
+    assert read_csv(spark, str(tmp_path), schema=None).dtypes == [("b", "int"), ("a", "string")]
+
+
+def test_csv_roundtrip_keeps_awkward_text(spark, tmp_path):
+    texts = ['a "quoted" word', "comma, here", "  blanks  ", "back\\slash", "", None, "ünïcode"]
+    df = spark.createDataFrame([(i, t, None, None) for i, t in enumerate(texts)], SMALL)
+    export_csv(df, str(tmp_path / "out"))
+    got = read_csv(spark, str(tmp_path / "out"), SMALL).orderBy("id").collect()
+    assert [row.name for row in got] == [text or None for text in texts]  # empty text reads as NULL
+
+
+def test_export_modes(spark, tmp_path):
+    out = str(tmp_path / "out")
+    export_csv(spark.range(3), out, header=False)
+    assert sorted(spark.read.text(out).toPandas()["value"]) == ["0", "1", "2"]
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        export_csv(spark.range(3), out)
+    export_csv(spark.range(1), out, mode="overwrite")
+    assert set(spark.read.text(out).toPandas()["value"]) == {"0", "id"}
+
+
+def test_latest_drop(spark, tmp_path):
+    write(tmp_path / "drops" / "2024-01" / "b.csv", "id,name,price,ok\n1,x,1,true\n")
+    write(tmp_path / "drops" / "2024-02" / "a.csv", "id,name,price,ok\n2,x,1,true\n")
+    write(tmp_path / "drops" / "2024-02" / "b.csv", "id,name,price,ok\n3,x,1,true\n")
+    drops = str(tmp_path / "drops")
+    assert latest_file(spark, drops).endswith("2024-02/b.csv")
+    assert latest_folder(spark, drops).endswith("2024-02")
+    assert [r.id for r in read_latest_csv(spark, drops, SMALL).collect()] == [3]
+    assert sorted(r.id for r in read_latest_csv(spark, drops, SMALL, whole_drop=True).collect()) == [2, 3]
+    (tmp_path / "none").mkdir()
+    empty = read_latest_csv(spark, str(tmp_path / "none"), SMALL)
+    assert (empty.count(), empty.columns) == (0, SMALL.names)
+
+
+def raw_line(key, quote, lane):
+    values = dict.fromkeys(RAW.names, "")
+    values.update(load_id=str(key), quote_date=quote, lane=f'"{lane}"')
+    return ",".join(values.values())
+
+
+def test_ingest_and_hand_over(spark, tmp_path):
+    lines = [",".join(RAW.names), raw_line(1, " 3/10/2024 2:30 ", "A,B -> C,D"), raw_line(2, "bad", "A")]
+    write(tmp_path / "drops" / "d1.csv", "\n".join(lines) + "\n")
+    lake = str(tmp_path / "lake")
+    staged = ingest(spark, str(tmp_path / "drops"), lake, "2024-05-01", table="ingested.loads")
+    assert staged.dtypes == [(f.name, f.dataType.simpleString()) for f in STAGED]
+    rows = {row.load_id: row for row in staged.collect()}
+    assert rows[1].quote_date == dt.datetime(2024, 3, 10, 2, 30) and rows[2].quote_date is None
+    assert rows[1].loading_date == "2024-05-01"
+
+    # the next day is added, and repeating a day replaces that day only
+    for _ in range(2):
+        staged = ingest(spark, str(tmp_path / "drops"), lake, "2024-05-02", table="ingested.loads")
+    assert {tuple(r) for r in staged.groupBy("loading_date").count().collect()} == {
+        ("2024-05-01", 2), ("2024-05-02", 2),
+    }
+    assert registered_tables(spark, "ingested") == ["loads"]
+    comments = {f.name: f.metadata.get("comment") for f in spark.table("ingested.loads").schema}
+    assert comments[KEY] == STAGED[KEY].metadata["comment"]
+
+    delivered = hand_over_latest_drop(spark, str(tmp_path / "drops"), str(tmp_path / "out"), whole_drop=False)
+    assert rows_of(delivered) == rows_of(read_csv(spark, str(tmp_path / "drops")))
+
+
+# -- Parquet -----------------------------------------------------------------
+
+
+@pytest.mark.parametrize("mode, days", [("dynamic", {"d1": 5, "d2": 5}), ("static", {"d2": 5})])
+def test_partition_modes(spark, loads, tmp_path, mode, days):
+    path = str(tmp_path / "t")
+    for day in ("d1", "d2"):
+        write_partitioned(loads.withColumn("loading_date", F.lit(day)), path, mode=mode)
+    back = read_staged(spark, path)
+    assert dict(back.dtypes)["loading_date"] == "string"
+    assert {r.loading_date: r["count"] for r in back.groupBy("loading_date").count().collect()} == days
+    with pytest.raises(ValueError):
+        write_partitioned(loads, path, mode="append")
+
+
+def test_rebalanced_partitions_hold_every_row(spark, tmp_path):
+    df = spark.range(1000).withColumn("k", F.when(F.col("id") < 700, 0).otherwise(F.col("id") % 7))
+    write_partitioned(df, str(tmp_path / "t"), by="k", rebalance=True)
+    assert rows_of(spark.read.parquet(str(tmp_path / "t"))) == rows_of(df)
+
+
+def test_register_table_twice_picks_up_new_partitions(spark, loads, tmp_path):
+    path = str(tmp_path / "it's here")
+    write_partitioned(loads, path)
+    assert register_table(spark, "quoted.`loads`".replace("`", ""), path).count() == 5
+    write_partitioned(loads.withColumn("loading_date", F.lit("2024-05-09")), path)
+    assert register_table(spark, "quoted.loads", path).count() == 10
+
+
+def test_bucketed_table_keeps_rows_without_a_key(spark, tmp_path):
+    df = spark.createDataFrame([(k,) for k in [1, 2, 3, None, None]], "load_id long")
+    table = save_table(df, "buckets.t", str(tmp_path / "b" / "t"), buckets=4)
+    assert rows_of(table) == rows_of(df)
+    assert bucket_count(spark, str(tmp_path / "b")) == 8
+    assert bucket_count(spark, str(tmp_path / "b"), bytes_per_bucket=100) > 8
+
+
+def test_inventory_and_tables(spark, tmp_path):
+    lake = tmp_path / "lake"
+    spark.range(10).repartition(3).write.parquet(str(lake / "one"))
+    spark.range(4).coalesce(1).write.parquet(str(lake / "two" / "part=a"))
+    found = {row.table_name: row for row in inventory(spark, str(lake)).collect()}
+    assert {name: row.files for name, row in found.items()} == {"one": 3, "two": 1}
+    assert found["one"].bytes == sum(f.stat().st_size for f in (lake / "one").glob("*.parquet"))
+    assert table_paths(spark, str(lake)).where("table_name = 'two'").count() == 1
+    tables = read_tables(spark, str(lake) + "/")
+    assert {name: df.count() for name, df in tables.items()} == {"one": 10, "two": 4}
+    assert tables["two"].columns == ["id", "part"]
+
+
+def test_drift(spark, tmp_path):
+    path = str(tmp_path / "drift")
+    spark.createDataFrame([(1, 10, "a")], "id long, n int, t string").write.parquet(path)
+    spark.createDataFrame([(2, "a")], "id long, t string").write.mode("append").parquet(path)
+    assert rows_of(read_with_drift(spark, path)) == rows_of(
+        spark.createDataFrame([(1, 10, "a"), (2, None, "a")], "id long, n int, t string")
+    )
+    # a numeric column widens; against the contract a misfit is NULL
+    spark.createDataFrame([(3, 2.5)], "id long, n double").write.mode("append").parquet(path)
+    assert {r.id: r.n for r in read_with_drift(spark, path).collect()} == {1: 10.0, 2: None, 3: 2.5}
+    spark.createDataFrame([(4, "x"), (5, "7")], "id long, n string").write.mode("append").parquet(path)
+    assert {r.id: r.n for r in read_with_drift(spark, path).collect()} == {1: "10", 2: None, 3: "2.5", 4: "x", 5: "7"}
+    contract = T.StructType().add("id", "long").add("n", "integer").add("extra", "boolean")
+    fitted = read_with_drift(spark, path, contract)
+    assert fitted.columns == ["id", "n", "extra", "t"]
+    assert {r.id: r.n for r in fitted.collect()} == {1: 10, 2: None, 3: 2, 4: None, 5: 7}
+
+
+def test_drift_skips_and_lists_what_is_not_parquet(spark, tmp_path):
+    path = tmp_path / "drift"
+    spark.range(3).coalesce(1).write.parquet(str(path / "day=1"))
+    write(path / "day=1" / "broken.parquet", "not parquet at all")
+    write(path / "day=1" / "empty.parquet", "")
+    assert rows_of(read_with_drift(spark, str(path)).select("id")) == rows_of(spark.range(3))
+    assert read_with_drift(spark, str(path)).columns == ["id", "day"]
+    listed = {row.path.rsplit("/", 1)[1] for row in unreadable_files(spark, str(path)).collect()}
+    assert listed == {"broken.parquet"}  # Spark lists no empty files
+
+
+def test_drift_scans_once_per_layout(spark, tmp_path):
+    path = str(tmp_path / "drift")
+    for i in range(6):
+        kind = "long" if i % 2 else "string"
+        spark.range(2).select(F.col("id").cast(kind)).write.mode("append").parquet(path)
+    plan = read_with_drift(spark, path)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 2
+
+
+# -- shared folder -----------------------------------------------------------
+
+
+def test_shared_folder_follows_the_session(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    first, second = shared_folder(spark, "x"), shared_folder(spark, "x")
+    assert first.startswith(f"{root}/freight/x-") and first != second
+
+
+class _Session:
+    """Stands in for a session: the folder rules read settings only."""
+
+    def __init__(self, **settings):
+        settings = {key.replace("_", "."): value for key, value in settings.items()}
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: settings.get(key, default))})
+
+
+def test_shared_folder_without_the_setting():
+    local = _Session(spark_master="local[4]", spark_app_id="a")
+    assert shared_folder(local, "x").rsplit("/", 2)[0] == shared_folder(local, "y").rsplit("/", 2)[0]
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(_Session(spark_master="yarn"), "x")

@@ -7,10 +7,10 @@ jobs would write them; the queries over them then read Parquet, not this adapter
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freight.contract import DATE_COLUMNS, RAW, RAW_DATE_FORMAT
+from freight.contract import DATE_COLUMNS, RAW
 from freight.operators.staging import parse_datetimes
 from freight.plans import materialise_star, stage
 from freight.sinks import bucket_count, write_partitioned
@@ -27,6 +27,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def written(column: str) -> Column:
+    """A timestamp as a raw drop writes it (``M/d/yyyy H:mm``), whatever the session zone."""
+    parts = [
+        F.month(column), F.lit("/"), F.day(column), F.lit("/"), F.year(column), F.lit(" "),
+        F.hour(column), F.lit(":"), F.lpad(F.minute(column).cast("string"), 2, "0"),
+    ]
+    return F.concat(*parts)
+
+
 def loads_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw load per order; orders without line items have no lane, dates or carrier."""
 
@@ -68,9 +77,6 @@ def loads_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(equipment, "p_partkey", "left")
     )
 
-    def written(column: str):
-        return F.date_format(column, RAW_DATE_FORMAT)
-
     key, status = F.col("o_orderkey"), F.col("o_orderstatus")
     values = {
         "load_id": key,

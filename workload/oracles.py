@@ -184,7 +184,8 @@ ORACLES: dict[str, str] = {
     "last_month_instant": _month_of_flat("delivery_date = {day}"),
     "last_month_day": _month_of_flat("cast(delivery_date as date) = cast({day} as date)"),
     "last_month_calendar": _month_of_flat(_CALENDAR_MONTH),
-    "last_month_anchored": _month_of_flat(_CALENDAR_MONTH),
+    "last_month_bucketed": _month_of_flat(_CALENDAR_MONTH),
+    "last_month_repeated_keys": _month_of_flat(_CALENDAR_MONTH),
     "last_month_of_orders": (
         "select o_orderkey, o_orderdate, 'day' as period from orders "
         f"where cast(o_orderdate as date) = cast({_ORDER_DAY} as date) union all "
@@ -222,7 +223,7 @@ ORACLES: dict[str, str] = {
     ),
     "dq_parse_failures": (
         "with written as (select event_id, event_type, case event_type "
-        "when 'click' then strftime(ts, '%-m/%-d/%Y %-H:%M:%S') "
+        "when 'click' then strftime(ts, '%-m/%-d/%Y %-H:%M') || ':59' "
         "when 'view' then strftime(ts, '%Y-%m-%d %H:%M') when 'error' then '  ' "
         "else strftime(ts, '%-m/%-d/%Y %-H:%M') end as written from events) "
         "select * from written where trim(written) <> '' "
