@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,14 +38,24 @@ def flatten_star(star: Mapping[str, DataFrame], distinct: bool = False) -> DataF
 def joined_deliveries(star: Mapping[str, DataFrame]) -> DataFrame:
     """Latest delivery of each key that all six tables hold.
 
-    It has the same latest delivery as the flattened star at a fraction of the work:
-    copies are merged map-side, and semi joins cannot multiply what is left.
+    It has the same latest delivery as the flattened star without any join: one
+    aggregate over the keys of all tables marks which of them hold a key.  Copies are
+    merged map-side, so a key that fills a large part of a table is one row there.
     """
-    rows = star["dim_delivery"].groupBy(KEY).agg(F.max("delivery_date").alias("delivery_date"))
-    for name in [FACT, *DIMENSIONS]:
-        if name != "dim_delivery":
-            rows = rows.join(star[name].select(KEY).distinct(), KEY, "left_semi")
-    return rows
+    names = [FACT, *DIMENSIONS]
+    marked = [
+        star[name].where(F.col(KEY).isNotNull()).select(
+            KEY,
+            F.lit(1 << bit).alias("held"),
+            F.col("delivery_date") if name == "dim_delivery"
+            else F.lit(None).cast("timestamp_ntz").alias("delivery_date"),
+        )
+        for bit, name in enumerate(names)
+    ]
+    keys = reduce(DataFrame.unionAll, marked).groupBy(KEY).agg(
+        F.bit_or("held").alias("held"), F.max("delivery_date").alias("delivery_date")
+    )
+    return keys.where(F.col("held") == (1 << len(names)) - 1).select(KEY, "delivery_date")
 
 
 def distinct_descending(df: DataFrame, column: str) -> DataFrame:
@@ -106,8 +117,5 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
         df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
         for name, df in tables.items()
     ]
-    result = counts[0]
-    for count in counts[1:]:
-        result = result.unionAll(count)
-    return result
+    return reduce(DataFrame.unionAll, counts)
 

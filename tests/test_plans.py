@@ -57,21 +57,20 @@ def test_bucketed_star_joins_without_shuffle(staged, tmp_path, sorted_joins):
     star = materialise_star(staged, "star_plans", str(tmp_path / "star"), buckets=4)
     plan = plan_of(flatten_star(star))
     assert plan.count("SortMergeJoin") == 5 and "Exchange" not in plan
-    for keys_checked in (True, False):
-        report = plan_of(last_month_report(star, "calendar_month", keys_checked))
-        assert "Exchange hashpartitioning(load_id" not in report
+    report = plan_of(last_month_report(star, "calendar_month", keys_checked=True))
+    assert "Exchange hashpartitioning(load_id" not in report
 
 
 def test_report_filters_deliveries_in_the_scan_and_before_every_join(staged, tmp_path, sorted_joins):
     star = materialise_star(staged, "star_report", str(tmp_path / "star"))
     report = last_month_report(star, "calendar_month", keys_checked=True)
-    optimized = report._jdf.queryExecution().optimizedPlan().toString()
-    deepest = optimized.splitlines()[-1]
-    assert "dim_delivery" in optimized and "Aggregate" in optimized
-    plan = plan_of(report)
-    scan = next(line for line in plan.splitlines() if "FileScan" in line and "delivery_city" in line)
-    assert "delivery_date" in scan.split("DataFilters:")[1].split("Format")[0]
-    assert deepest  # the plan is not empty
+    lines = plan_of(report).splitlines()
+    scan = next(line for line in lines if "FileScan" in line and "delivery_city" in line)
+    assert "(delivery_date" in scan.split("DataFilters:")[1]
+    # deliveries are the left input of the deepest join: its line comes before all other tables
+    order = [name for line in lines for name in ("delivery_city", "shipper_name", "carrier_name", "pickup_city")
+             if "FileScan" in line and name in line]
+    assert order[0] == "delivery_city"
 
 
 def test_last_period_runs_no_job_on_the_driver(spark, staged):

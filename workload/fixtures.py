@@ -1,8 +1,8 @@
 """The test tables as freight loads: one load per order.
 
-``loads_raw`` is the raw drop (dates as text), ``staged`` the ingested table and ``star``
-the star schema.  The last two are written once per session and input state, as the
-jobs would write them; the queries over them then read Parquet, not this adapter.
+Prepared once per session and input state, in the order the jobs would run:
+``loads_from_tables`` becomes a raw CSV drop, the drop is ingested into the staged table,
+and the staged table becomes the star schema.  The queries read those.
 """
 
 from __future__ import annotations
@@ -10,11 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freight.contract import DATE_COLUMNS, RAW
-from freight.operators.staging import parse_datetimes
-from freight.plans import materialise_star, stage
-from freight.sinks import bucket_count, write_partitioned
-from freight.sources import read_staged
+from freight.contract import RAW
+from freight.operators import parse_datetimes
+from freight.plans import ingest, materialise_star
+from freight.sinks import bucket_count, export_csv
+from freight.sources import read_csv, read_staged
 from freight.sources.files import listing
 from freight.workspace import shared_folder
 
@@ -36,7 +36,7 @@ def written(column: str) -> Column:
     return F.concat(*parts)
 
 
-def loads_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def loads_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw load per order; orders without line items have no lane, dates or carrier."""
 
     def read(name: str) -> DataFrame:
@@ -114,11 +114,6 @@ def loads_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(*[values[f.name].cast(f.dataType).alias(f.name) for f in RAW])
 
 
-def loads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw loads with parsed dates."""
-    return parse_datetimes(loads_raw(spark, sf_dir), DATE_COLUMNS)
-
-
 def _input_state(spark: SparkSession, sf_dir: str) -> tuple:
     """Size and age of the input files: a changed input is written anew."""
     wanted = F.col("path").rlike(r"/(" + "|".join(_TABLES) + r")\.parquet")
@@ -134,10 +129,31 @@ def _once(spark: SparkSession, sf_dir: str, what: str, write) -> object:
     return _written[state]
 
 
+def raw_drop(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the raw drop, CSV with a header."""
+
+    def write() -> str:
+        folder = shared_folder(spark, "raw")
+        export_csv(loads_from_tables(spark, sf_dir), folder)
+        return folder
+
+    return _once(spark, sf_dir, "raw", write)
+
+
+def loads_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw drop, dates still text."""
+    return read_csv(spark, raw_drop(spark, sf_dir))
+
+
+def loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw drop with parsed dates."""
+    return parse_datetimes(loads_raw(spark, sf_dir))
+
+
 def staged_folder(spark: SparkSession, sf_dir: str) -> str:
     def write() -> str:
         folder = shared_folder(spark, "staged")
-        write_partitioned(stage(loads_raw(spark, sf_dir), LOAD_DATE), folder)
+        ingest(spark, raw_drop(spark, sf_dir), folder, LOAD_DATE)
         return folder
 
     return _once(spark, sf_dir, "staged", write)
