@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,10 +59,12 @@ def fan_out(df: DataFrame, key: str = KEY, tables: int = 6) -> DataFrame:
     """Repeated keys with ``total`` copies and the ``joined_rows`` they turn into.
 
     A join chain of ``tables`` slices of the same table returns ``total ** tables`` rows
-    for a key; here the size is known from one count, without running the joins.
+    for a key; here the size is known from one count, without running the joins.  It is
+    a double, since a hot key leaves the range of integers.
     """
     totals = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("total"))
-    return totals.where("total > 1").withColumn("joined_rows", F.pow("total", F.lit(tables)))
+    joined_rows = reduce(operator.mul, [F.col("total").cast("double")] * tables)
+    return totals.where("total > 1").withColumn("joined_rows", joined_rows)
 
 
 def parse_failures(df: DataFrame, column: str, date_format: str = RAW_DATE_FORMAT) -> DataFrame:

@@ -218,8 +218,9 @@ ORACLES: dict[str, str] = {
         "(select l_orderkey from lineitem where l_orderkey is not null group by l_orderkey having count(*) > 1)"
     ),
     "dq_fan_out": (
-        "select l_orderkey, count(*) as total, pow(count(*), 6) as joined_rows from lineitem "
-        "where l_orderkey is not null group by l_orderkey having count(*) > 1"
+        "select l_orderkey, total, n * n * n * n * n * n as joined_rows from "
+        "(select l_orderkey, count(*) as total, cast(count(*) as double) as n from lineitem "
+        "where l_orderkey is not null group by l_orderkey having count(*) > 1)"
     ),
     "dq_parse_failures": (
         "with written as (select event_id, event_type, case event_type "
