@@ -21,14 +21,16 @@ def parse_wall_clock(column: Column | str, date_format: str = RAW_DATE_FORMAT) -
     saving stays as written.  ``nullif`` drops text the expression left untouched,
     which the cast might otherwise accept in another notation.
 
-    Other formats go through ``try_to_timestamp``; that one reads in the session zone,
-    so an hour skipped by that zone moves forward.
+    Text in any other format is read as if it named UTC, and the instant is counted
+    forward from a wall-clock epoch, which keeps the session zone out as well.
     """
     text = F.trim(F.col(column) if isinstance(column, str) else column)
     if date_format == RAW_DATE_FORMAT:
         iso = F.regexp_replace(text, _SLASHED, _AS_ISO)
         return F.nullif(iso, text).try_cast("timestamp_ntz")
-    return F.try_to_timestamp(text, F.lit(date_format)).cast("timestamp_ntz")
+    instant = F.try_to_timestamp(F.concat(text, F.lit(" Z")), F.lit(f"{date_format} X"))
+    seconds = (F.unix_micros(instant) / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
 
 
 def load_date(value: str | datetime.date | None = None) -> Column:

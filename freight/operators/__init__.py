@@ -9,6 +9,7 @@ from freight.operators.quality import (
     key_tests,
     malformed_lanes,
     not_null,
+    parse_failure_counts,
     parse_failures,
     require_unique,
     unique,
@@ -49,6 +50,7 @@ __all__ = [
     "not_null",
     "parse_by_name_rule",
     "parse_datetimes",
+    "parse_failure_counts",
     "parse_failures",
     "preview",
     "require_unique",

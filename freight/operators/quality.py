@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import operator
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from freight.contract import KEY, LANE, LANE_ARROW, LANE_COMMA, RAW_DATE_FORMAT
+from freight.contract import DATE_COLUMNS, KEY, LANE, LANE_ARROW, LANE_COMMA, RAW_DATE_FORMAT
 from freight.functions.casts import cast_or_null
 from freight.functions.datetimes import parse_wall_clock
 from freight.functions.text import delimited_parts, part_at
@@ -73,12 +74,23 @@ def parse_failures(df: DataFrame, column: str, date_format: str = RAW_DATE_FORMA
     return df.where(filled & parse_wall_clock(column, date_format).isNull())
 
 
+def parse_failure_counts(
+    df: DataFrame, columns: Sequence[str] = tuple(DATE_COLUMNS), date_format: str = RAW_DATE_FORMAT
+) -> DataFrame:
+    """Number of such rows for each of ``columns``, in one pass: ``column_name``, ``failures``."""
+    failed = [
+        F.count_if((F.trim(name) != "") & parse_wall_clock(name, date_format).isNull()).alias(name)
+        for name in columns
+    ]
+    return df.agg(*failed).unpivot([], list(columns), "column_name", "failures")
+
+
 def malformed_lanes(df: DataFrame, lane: str = LANE) -> DataFrame:
     """Rows whose lane is not two ends of exactly a city and a state each."""
     ends = delimited_parts(F.col(lane), LANE_ARROW)
-    sound = F.size(ends) == 2
+    sound = F.array_size(ends) == 2
     for position in (0, 1):
-        sound &= F.size(delimited_parts(part_at(ends, position), LANE_COMMA)) == 2
+        sound &= F.array_size(delimited_parts(part_at(ends, position), LANE_COMMA)) == 2
     return df.where(F.col(lane).isNotNull() & ~sound)
 
 

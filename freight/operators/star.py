@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,16 +38,22 @@ def build_fact(
     size beforehand.  Rows without a key match nothing; they skip the joins, where they
     would all meet in one task.
 
+    ``counted`` gives those rows each once, with the number of times the joins return it
+    in ``copies``.  Equal parts are merged before the joins, so copies of a load cost no
+    more than the load itself, however often it was delivered.
+
     ``single`` gives the same rows as one projection, no join and no shuffle, for a key
     that does not repeat and dimensions that are slices of ``loads``.  It checks the
     key first and raises ``KeyNotUnique`` (``verify=False`` where the caller has checked).
     """
     if mode == "join":
         return _fact_by_joins(loads, dimensions or build_dimensions(loads))
+    if mode == "counted":
+        return _fact_counted(loads, dimensions or build_dimensions(loads))
     if mode != "single":
-        raise ValueError("mode must be 'single' or 'join'")
+        raise ValueError("mode must be 'single', 'join' or 'counted'")
     if dimensions is not None:
-        raise ValueError("given dimensions need mode='join'")
+        raise ValueError("given dimensions need mode='join' or 'counted'")
     if verify:
         require_unique(loads, KEY)
     keyed = F.col(KEY).isNotNull()
@@ -64,3 +72,23 @@ def _fact_by_joins(loads: DataFrame, dimensions: Mapping[str, DataFrame]) -> Dat
         *[F.lit(None).cast(field.dataType).alias(field.name) for field in fact.schema]
     )
     return fact.unionAll(unkeyed)
+
+
+def _fact_counted(loads: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
+    # Counts are doubles: their product soon leaves the range of integers.
+    def merged(rows: DataFrame, count: str) -> DataFrame:
+        return rows.groupBy(*rows.columns).agg(F.count("*").cast("double").alias(count))
+
+    keys = merged(loads.select(KEY), "n_source")
+    fact = keys.where(F.col(KEY).isNotNull())
+    counts = ["n_source"]
+    for name, columns in FACT_SOURCES.items():
+        counts.append(f"n_{name}")
+        part = dimensions[name].select(KEY, *columns).where(F.col(KEY).isNotNull())
+        fact = fact.join(merged(part, counts[-1]), on=KEY, how="left")
+    copies = reduce(operator.mul, [F.coalesce(F.col(n), F.lit(1.0)) for n in counts])
+    fact = fact.select(*[described(c) for c in FACT_COLUMNS], copies.alias("copies"))
+    unkeyed = keys.where(F.col(KEY).isNull()).select(
+        *[F.lit(None).cast(field.dataType).alias(field.name) for field in fact.schema[:-1]], "n_source"
+    )
+    return fact.unionAll(unkeyed)

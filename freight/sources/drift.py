@@ -62,13 +62,13 @@ def unreadable_files(spark: SparkSession, folder: str) -> DataFrame:
 def _read_by_layout(spark: SparkSession, folder: str) -> list[DataFrame]:
     # Paths reach the driver here, as they do in every file scan Spark plans; the
     # schema texts, far longer than a path, stay behind as digests.
-    files = _footers(spark, folder).select("path", "reason", F.md5("layout").alias("layout"))
-    by_layout: dict[str, list[str]] = {}
+    files = _footers(spark, folder).select("path", F.md5("layout").alias("layout"))
+    by_layout: dict[str | None, list[str]] = {}
     for row in files.collect():
-        if row.layout is None:
-            log.warning("skipping %s: %s", row.path, row.reason)
-        else:
-            by_layout.setdefault(row.layout, []).append(row.path)
+        by_layout.setdefault(row.layout, []).append(row.path)
+    skipped = by_layout.pop(None, [])
+    if skipped:
+        log.warning("skipping %d files that are not Parquet, among them %s", len(skipped), skipped[:5])
     reader = spark.read.option("basePath", folder)
     return [reader.parquet(*sorted(paths)) for _, paths in sorted(by_layout.items())]
 

@@ -47,10 +47,28 @@ def test_parse_is_strict_and_ignores_the_session(spark, zone, ansi):
     assert got == PARSED
 
 
-def test_other_format(spark):
-    df = spark.createDataFrame([("2024.01.02 03:04:05",), ("2024.13.02 03:04:05",), ("",)], "t string")
-    got = [row.d for row in df.select(parse_wall_clock("t", "yyyy.MM.dd HH:mm:ss").alias("d")).collect()]
-    assert got == [dt.datetime(2024, 1, 2, 3, 4, 5), None, None]
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_other_format(spark, zone):
+    texts = {
+        "2024.01.02 03:04:05": dt.datetime(2024, 1, 2, 3, 4, 5),
+        " 2024.03.10 02:30:00": dt.datetime(2024, 3, 10, 2, 30),  # skipped by New York
+        "2024.11.03 01:30:00": dt.datetime(2024, 11, 3, 1, 30),  # twice in New York
+        "1901.02.03 04:05:06": dt.datetime(1901, 2, 3, 4, 5, 6),
+        "2024.13.02 03:04:05": None,
+        "": None,
+    }
+    df = spark.createDataFrame([(text,) for text in texts], "t string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        got = {r.t: r.d for r in df.select("t", parse_wall_clock("t", "yyyy.MM.dd HH:mm:ss").alias("d")).collect()}
+        micros = df.limit(1).select(
+            parse_wall_clock(F.lit("05/06/2024 07:08:09.123456"), "dd/MM/yyyy HH:mm:ss.SSSSSS")
+        ).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == texts
+    assert micros == dt.datetime(2024, 6, 5, 7, 8, 9, 123456)
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

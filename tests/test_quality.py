@@ -10,10 +10,12 @@ from freight.operators import (
     fan_out,
     key_tests,
     not_null,
+    parse_failure_counts,
     parse_failures,
     require_unique,
     unique,
 )
+from freight.session import settings_for
 
 
 @pytest.fixture
@@ -51,6 +53,8 @@ def test_parse_failures(spark):
     texts = ["1/2/2024 9:05", "1/2/2024 9:05:33", "x", "", "  ", None]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     assert {row.t for row in parse_failures(df, "t").collect()} == {"1/2/2024 9:05:33", "x"}
+    both = df.withColumn("u", F.lit("1/2/2024 9:05"))
+    assert {tuple(row) for row in parse_failure_counts(both, ["t", "u"]).collect()} == {("t", 2), ("u", 0)}
 
 
 def test_conforms(spark, loads):
@@ -82,3 +86,10 @@ def test_contract_covers_the_published_types():
         T.LongType: 1, T.IntegerType: 2, T.StringType: 6, T.TimestampNTZType: 7, T.DoubleType: 4, T.BooleanType: 12,
     }
     assert all(field.metadata["comment"] for field in STAGED)
+
+
+def test_cluster_settings():
+    small = settings_for(10 << 30, cores=400)
+    assert small["spark.sql.shuffle.partitions"] == "400"
+    assert settings_for(10 << 40, cores=4000)["spark.sql.shuffle.partitions"] == "40960"
+    assert settings_for(100 << 40, cores=4000)["spark.sql.shuffle.partitions"] == "100000"

@@ -1,4 +1,5 @@
 import itertools
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -49,6 +50,19 @@ def test_fact_by_joins_on_copies_and_missing_keys(loads):
     assert rows_of(fact) == brute_force_fact(rows.collect())
 
 
+def test_counted_fact_names_every_row_of_the_joins(loads):
+    rows = with_repeats(loads)
+    counted = {repr(tuple(row)[:-1]): row.copies for row in build_fact(rows, mode="counted").collect()}
+    joined = Counter(brute_force_fact(rows.collect()))
+    assert counted == {row: float(n) for row, n in joined.items()}
+
+
+def test_counted_fact_of_many_copies(loads):
+    many = loads.withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(50)))).drop("i")
+    fact = build_fact(many, mode="counted")
+    assert {(row[KEY], row.copies) for row in fact.collect()} == {(k, 50.0**6) for k in range(1, 6)}
+
+
 def test_three_plain_copies_and_a_missing_key(spark):
     keys = spark.createDataFrame([(1,), (1,), (None,)], "load_id long")
     loads = keys.select(KEY, *[F.lit(None).cast(f.dataType).alias(f.name) for f in STAGED if f.name != KEY])

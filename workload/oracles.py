@@ -171,6 +171,13 @@ ORACLES: dict[str, str] = {
     "fact_single": f"{_LOADS} {_fact()}",
     "fact_join_null_keys": f"{_UNKEYED} {_fact('unkeyed')}",
     "fact_single_null_keys": f"{_UNKEYED} {_fact('unkeyed')}",
+    "fact_join_duplicates": (
+        f"{_LOADS}, twice as (select * from loads union all select * from loads) "
+        f"select *, cast(count(*) as double) as copies from ({_fact('twice')}) group by all"
+    ),
+    "fact_counted_null_keys": (
+        f"{_UNKEYED} select *, cast(count(*) as double) as copies from ({_fact('unkeyed')}) group by all"
+    ),
     "fact_from_tables": f"{_LOADS} {_fact()}",
     "star_tables": _STAR_COUNTS.format(extra=""),
     "star_flat": f"{_FLAT} select * from flat",
@@ -230,6 +237,14 @@ ORACLES: dict[str, str] = {
         "select * from written where trim(written) <> '' "
         "and try_strptime(trim(written), '%m/%d/%Y %H:%M') is null"
     ),
+    "dq_parse_failure_counts": (
+        f"{_RAW} "
+        + " union all ".join(
+            f"select '{c}' as column_name, count(*) filter (trim({c}) <> '' and "
+            f"try_strptime(trim({c}), '%m/%d/%Y %H:%M') is null) as failures from raw"
+            for c in ["delivery_date", "sourcing_channel", "lane"]
+        )
+    ),
     "dq_malformed_lanes": (
         f"{_LOADS} select load_id, lane from (select load_id, case "
         "when load_was_cancelled then regexp_replace(lane, ',[^,]*$', '') "

@@ -25,6 +25,7 @@ from freight.operators import (
     not_null,
     parse_by_name_rule,
     parse_datetimes,
+    parse_failure_counts,
     parse_failures,
     preview,
     row_counts,
@@ -258,7 +259,7 @@ def lane_ends(spark, sf):
     names = ["first", "second", "third"]
     ends = split_text(staged(spark, sf), "lane", " -> ", names)
     return split_lane(ends, [KEY, *names]).select(
-        KEY, *names, F.size("split_column").cast("bigint").alias("n_ends")
+        KEY, *names, F.array_size("split_column").cast("bigint").alias("n_ends")
     )
 
 
@@ -309,6 +310,18 @@ def fact_single_null_keys(spark, sf):
     return build_fact(_unkeyed(spark, sf), mode="single")
 
 
+@query
+def fact_join_duplicates(spark, sf):
+    """Every load delivered twice: the joins return 64 copies, counted here instead of made."""
+    rows = staged(spark, sf)
+    return build_fact(rows.unionAll(rows), mode="counted")
+
+
+@query
+def fact_counted_null_keys(spark, sf):
+    return build_fact(_unkeyed(spark, sf), mode="counted")
+
+
 @query
 def star_tables(spark, sf):
     """The written star, counted table by table."""
@@ -445,6 +458,12 @@ def dq_parse_failures(spark, sf):
     return parse_failures(events, "written")
 
 
+@query
+def dq_parse_failure_counts(spark, sf):
+    """A date column, and two text columns taken for dates."""
+    return parse_failure_counts(loads_raw(spark, sf), ["delivery_date", "sourcing_channel", "lane"])
+
+
 @query
 def dq_malformed_lanes(spark, sf):
     """Lanes that lose their delivery state, or gain a third end, on some loads."""
