@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freight.contract import STAGED
@@ -10,16 +10,16 @@ from freight.sources.drift import read_with_drift
 from freight.sources.files import listing
 
 
-def _table_of(folder: str):
-    # The listing reports qualified paths ("file:/x"), so look for the folder's
-    # own tail anywhere in the path and take the segment after it.
-    tail = folder.rstrip("/").split("://")[-1].lstrip("/")
-    rest = F.substring_index(F.col("path"), f"{tail}/", -1)
-    return F.substring_index(rest, "/", 1)
+def _table_of(folder: str) -> Column:
+    # The listing qualifies paths ("/lake" comes back as "file:/lake/..."), so the table
+    # is the segment after the first place where the folder's own path ends.
+    tail = "/" + folder.split("://")[-1].strip("/") + "/"
+    after = F.locate(tail, F.col("path")) + len(tail)
+    return F.substring_index(F.col("path").substr(after, F.length("path")), "/", 1)
 
 
 def table_paths(spark: SparkSession, folder: str) -> DataFrame:
-    """Files below ``folder`` with the table each belongs to (its first sub-folder)."""
+    """Files below ``folder``, an absolute path, with the table (sub-folder) each belongs to."""
     return listing(spark, folder).select(_table_of(folder).alias("table_name"), "path", "length")
 
 
