@@ -7,10 +7,13 @@ and the staged table becomes the star schema.  The queries read those.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freight.contract import RAW
+from freight.contract import DIMENSIONS, FACT, RAW
 from freight.operators import parse_datetimes
 from freight.plans import ingest, materialise_star
 from freight.sinks import bucket_count, export_csv
@@ -20,7 +23,7 @@ from freight.workspace import shared_folder
 
 LOAD_DATE = "2024-05-01"
 _TABLES = ["orders", "lineitem", "customer", "supplier", "part", "nation", "region"]
-_written: dict[tuple, object] = {}
+_written: dict[tuple, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -122,13 +125,22 @@ def _input_state(spark: SparkSession, sf_dir: str) -> tuple:
     return (spark.conf.get("spark.app.id", ""), sf_dir, *found)
 
 
-def _once(spark: SparkSession, sf_dir: str, what: str, write) -> object:
+def _once(spark: SparkSession, sf_dir: str, what: str, write: Callable[[], str]) -> str:
+    """The folder ``write`` returns; written again if the input changed or the folder is gone."""
     state = (what, *_input_state(spark, sf_dir))
-    if state not in _written:
+    if state not in _written or not _present(spark, _written[state]):
         _written[state] = write()
     return _written[state]
 
 
+def _present(spark: SparkSession, folder: str) -> bool:
+    try:
+        listing(spark, folder)
+    except AnalysisException:
+        return False
+    return True
+
+
 def raw_drop(spark: SparkSession, sf_dir: str) -> str:
     """Folder of the raw drop, CSV with a header."""
 
@@ -165,26 +177,23 @@ def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_folder(spark: SparkSession, sf_dir: str, bucketed: bool = False) -> str:
-    return _star(spark, sf_dir, bucketed)[0]
-
+    """Folder of the star schema; ``bucketed`` places all six tables by key."""
 
-def star(spark: SparkSession, sf_dir: str, bucketed: bool = False) -> dict[str, DataFrame]:
-    """The written star schema; ``bucketed`` places all six tables by key."""
-    database, names = _star(spark, sf_dir, bucketed)[1:]
-    return {name: spark.table(f"{database}.{name}") for name in names}
-
-
-def _star(spark: SparkSession, sf_dir: str, bucketed: bool) -> tuple:
-    def write() -> tuple:
+    def write() -> str:
         source = staged_folder(spark, sf_dir)
         folder = shared_folder(spark, "star")
-        database = "star_" + folder.rsplit("-", 1)[1]
-        tables = materialise_star(
-            read_staged(spark, source),
-            database,
-            folder,
-            buckets=bucket_count(spark, source) if bucketed else None,
-        )
-        return folder, database, list(tables)
+        buckets = bucket_count(spark, source) if bucketed else None
+        materialise_star(read_staged(spark, source), star_database(folder), folder, buckets=buckets)
+        return folder
 
     return _once(spark, sf_dir, "star_bucketed" if bucketed else "star", write)
+
+
+def star_database(folder: str) -> str:
+    return "star_" + folder.rsplit("-", 1)[1]
+
+
+def star(spark: SparkSession, sf_dir: str, bucketed: bool = False) -> dict[str, DataFrame]:
+    """The written star schema, table by table."""
+    database = star_database(star_folder(spark, sf_dir, bucketed))
+    return {name: spark.table(f"{database}.{name}") for name in [*DIMENSIONS, FACT]}

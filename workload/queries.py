@@ -56,6 +56,7 @@ from workload.fixtures import (
     staged,
     staged_folder,
     star,
+    star_database,
     star_folder,
     table,
     written,
@@ -199,7 +200,7 @@ def lake_inventory(spark, sf):
 @query
 def registered_tables_counts(spark, sf):
     """The same tables found by catalog name."""
-    database = "star_" + star_folder(spark, sf).rsplit("-", 1)[1]
+    database = star_database(star_folder(spark, sf))
     names = registered_tables(spark, database)
     return row_counts({name: spark.table(f"{database}.{name}") for name in names})
 
@@ -349,12 +350,12 @@ def star_flat_bucketed(spark, sf):
 
 @query
 def delivery_dates(spark, sf):
-    return distinct_descending(flatten_star(star(spark, sf)), "delivery_date")
+    return distinct_descending(flatten_star(star(spark, sf, bucketed=True)), "delivery_date")
 
 
 @query
 def latest_delivery(spark, sf):
-    return month_before_latest(flatten_star(star(spark, sf)), "delivery_date")
+    return month_before_latest(flatten_star(star(spark, sf, bucketed=True)), "delivery_date")
 
 
 @query
@@ -396,7 +397,7 @@ def last_month_of_orders(spark, sf):
 @query
 def report_dedup(spark, sf):
     """The report rows delivered twice, then each kept once."""
-    rows = flatten_star(star(spark, sf))
+    rows = flatten_star(star(spark, sf, bucketed=True))
     return dedupe(rows.unionAll(rows)).select(*REPORT_COLUMNS)
 
 
