@@ -18,7 +18,7 @@ from freight.operators.report import (
     dedupe,
     distinct_descending,
     flatten_star,
-    joined_deliveries,
+    key_profile,
     last_period,
     month_before_latest,
     row_counts,
@@ -42,7 +42,7 @@ __all__ = [
     "enrich_with_lanes",
     "fan_out",
     "flatten_star",
-    "joined_deliveries",
+    "key_profile",
     "key_tests",
     "last_period",
     "malformed_lanes",

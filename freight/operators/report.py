@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -12,50 +12,58 @@ from freight.contract import DIMENSIONS, FACT, KEY, REPORT_SOURCES
 from freight.functions.datetimes import month_before
 
 
-def flatten_star(star: Mapping[str, DataFrame], distinct: bool = False) -> DataFrame:
+TABLES = [FACT, *DIMENSIONS]
+
+
+def flatten_star(star: Mapping[str, DataFrame], distinct: Collection[str] = ()) -> DataFrame:
     """Fact inner-joined to its five dimensions, reduced to the report columns.
 
-    A key with c, d, ... copies in the six tables comes back c * d * ... times.  With
-    ``distinct`` each table is reduced to its distinct report columns before it is
-    joined: the same rows as deduplicating the result, since every combination of
-    distinct parts is a distinct row, but copies are gone before they can multiply.
+    A key with c, d, ... copies in the six tables comes back c * d * ... times.  The
+    tables named in ``distinct`` are reduced to their distinct report columns before
+    they are joined.  With every table that repeats keys among them, the rows are those
+    of the deduplicated result, since each combination of distinct parts is a distinct
+    row, but copies are gone before they can multiply.
     """
 
     def part(name: str) -> DataFrame:
         columns = [column for column, table in REPORT_SOURCES if table == name]
         rows = star[name].select(KEY, *columns).where(F.col(KEY).isNotNull())
-        return (rows.dropDuplicates() if distinct else rows).alias(name)
+        return (rows.dropDuplicates() if name in distinct else rows).alias(name)
 
     # The report filters deliveries: with that table first, every later join has only
     # the filtered rows on its left.
-    first, *others = sorted([FACT, *DIMENSIONS], key=lambda name: name != "dim_delivery")
+    first, *others = sorted(TABLES, key=lambda name: name != "dim_delivery")
     flat = part(first)
     for name in others:
         flat = flat.join(part(name), F.col(f"{first}.{KEY}") == F.col(f"{name}.{KEY}"), "inner")
     return flat.select(f"{FACT}.{KEY}", *[f"{table}.{column}" for column, table in REPORT_SOURCES])
 
 
-def joined_deliveries(star: Mapping[str, DataFrame]) -> DataFrame:
-    """Latest delivery of each key that all six tables hold.
+def key_profile(star: Mapping[str, DataFrame]) -> DataFrame:
+    """One row about the keys of the star: how often the most repeated key of each table
+    occurs in it (a column per table), and in ``delivery_date`` the latest delivery of
+    the keys that all tables hold, which is the latest of the flattened star.
 
-    It has the same latest delivery as the flattened star without any join: one
-    aggregate over the keys of all tables marks which of them hold a key.  Copies are
-    merged map-side, so a key that fills a large part of a table is one row there.
+    One aggregate over the keys of all tables, without any join.  Copies are merged
+    map-side, so a key that fills a large part of a table is one row there.
     """
-    names = [FACT, *DIMENSIONS]
-    marked = [
+    no_date = F.lit(None).cast("timestamp_ntz").alias("delivery_date")
+    keys = [
         star[name].where(F.col(KEY).isNotNull()).select(
             KEY,
-            F.lit(1 << bit).alias("held"),
-            F.col("delivery_date") if name == "dim_delivery"
-            else F.lit(None).cast("timestamp_ntz").alias("delivery_date"),
+            F.col("delivery_date") if name == "dim_delivery" else no_date,
+            *[F.lit(int(name == other)).alias(other) for other in TABLES],
         )
-        for bit, name in enumerate(names)
+        for name in TABLES
     ]
-    keys = reduce(DataFrame.unionAll, marked).groupBy(KEY).agg(
-        F.bit_or("held").alias("held"), F.max("delivery_date").alias("delivery_date")
+    copies = reduce(DataFrame.unionAll, keys).groupBy(KEY).agg(
+        F.max("delivery_date").alias("delivery_date"), *[F.sum(name).alias(name) for name in TABLES]
+    )
+    everywhere = F.least(*TABLES) > 0
+    return copies.agg(
+        F.max(F.when(everywhere, F.col("delivery_date"))).alias("delivery_date"),
+        *[F.coalesce(F.max(name), F.lit(0)).alias(name) for name in TABLES],
     )
-    return keys.where(F.col("held") == (1 << len(names)) - 1).select(KEY, "delivery_date")
 
 
 def distinct_descending(df: DataFrame, column: str) -> DataFrame:

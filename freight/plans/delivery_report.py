@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from freight.operators.report import flatten_star, joined_deliveries, last_period
+from freight.operators.report import TABLES, flatten_star, key_profile, last_period
 
 
 def last_month_report(
@@ -14,18 +14,21 @@ def last_month_report(
 ) -> DataFrame:
     """The flattened star, one month before its latest delivery, each row once.
 
-    In general the tables may repeat keys or hold different ones.  Copies are then
-    dropped from each table before the joins, and the latest delivery is taken over the
-    keys that all tables share.
+    In general the tables may repeat keys or hold different ones, so their keys are
+    profiled first; one row reaches the driver.  Tables that repeat a key are reduced to
+    distinct rows before the joins, and the month is that before the latest delivery
+    of the keys that all tables share.
 
     ``keys_checked=True`` says that the star was built in ``single`` mode: every table has
-    the same keys, none of them twice.  The joined rows are then distinct as they are,
-    and the latest date is that of ``dim_delivery`` alone, a scan of one column.
+    the same keys, none of them twice.  Nothing is profiled then, and the latest date is
+    that of ``dim_delivery`` alone, a scan of one column.
     """
     if keys_checked:
-        anchor = star["dim_delivery"].where("load_id IS NOT NULL")
+        repeated, anchor = [], star["dim_delivery"].where("load_id IS NOT NULL")
     else:
-        anchor = joined_deliveries(star)
-    return last_period(
-        flatten_star(star, distinct=not keys_checked), "delivery_date", mode, anchor
-    )
+        profile = key_profile(star).first()
+        repeated = [name for name in TABLES if profile[name] > 1]
+        anchor = star["dim_delivery"].sparkSession.createDataFrame(
+            [(profile.delivery_date,)], "delivery_date timestamp_ntz"
+        )
+    return last_period(flatten_star(star, distinct=repeated), "delivery_date", mode, anchor)

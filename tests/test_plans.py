@@ -87,7 +87,7 @@ def test_last_period_runs_no_job_on_the_driver(spark, staged):
 def test_copies_are_merged_before_the_shuffle(staged, sorted_joins):
     star = {**build_dimensions(staged), FACT: build_fact(staged, mode="join")}
     twice = {name: df.unionAll(df) for name, df in star.items()}
-    plan = plan_of(flatten_star(twice, distinct=True))
+    plan = plan_of(flatten_star(twice, distinct=twice))
     # each table: partial aggregate, exchange, final aggregate, exchange on the key
     assert plan.count("HashAggregate") >= 12
     joined = plan_of(flatten_star(twice).select(KEY))

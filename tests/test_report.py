@@ -10,12 +10,13 @@ from freight.operators import (
     dedupe,
     distinct_descending,
     flatten_star,
-    joined_deliveries,
+    key_profile,
     last_period,
     month_before_latest,
     preview,
     row_counts,
 )
+from freight.operators.report import TABLES
 from freight.plans import last_month_report
 
 from .conftest import rows_of
@@ -77,9 +78,18 @@ def test_report_over_repeated_and_differing_keys(loads):
         plain = dedupe(last_period(flatten_star(star), "delivery_date", mode))
         assert rows_of(last_month_report(star, mode)) == rows_of(plain)
     flat = flatten_star(star)
-    assert rows_of(flatten_star(star, distinct=True)) == rows_of(flat.dropDuplicates())
-    latest = flat.agg(F.max("delivery_date")).first()[0]
-    assert joined_deliveries(star).agg(F.max("delivery_date")).first()[0] == latest
+    assert rows_of(flatten_star(star, distinct=TABLES)) == rows_of(flat.dropDuplicates())
+    repeated = ["dim_book", "dim_carriers", FACT]
+    assert rows_of(flatten_star(star, distinct=repeated)) == rows_of(flat.dropDuplicates())
+    profile = key_profile(star).first()
+    assert profile.delivery_date == flat.agg(F.max("delivery_date")).first()[0]
+    assert {name for name in TABLES if profile[name] > 1} == set(repeated)
+
+
+def test_report_over_empty_tables(loads):
+    star = {name: df.limit(0) for name, df in star_of(loads).items()}
+    assert last_month_report(star, "calendar_month").count() == 0
+    assert last_month_report(star, "calendar_month", keys_checked=True).count() == 0
 
 
 def test_distinct_descending(loads):

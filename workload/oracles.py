@@ -193,6 +193,7 @@ ORACLES: dict[str, str] = {
     "last_month_calendar": _month_of_flat(_CALENDAR_MONTH),
     "last_month_bucketed": _month_of_flat(_CALENDAR_MONTH),
     "last_month_repeated_keys": _month_of_flat(_CALENDAR_MONTH),
+    "last_month_unchecked": _month_of_flat(_CALENDAR_MONTH),
     "last_month_of_orders": (
         "select o_orderkey, o_orderdate, 'day' as period from orders "
         f"where cast(o_orderdate as date) = cast({_ORDER_DAY} as date) union all "

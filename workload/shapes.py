@@ -70,6 +70,9 @@ PAIRS = {
         "latest date by subquery on the joined rows": lambda s: noop(
             dedupe(last_period(flatten_star(star(s, SF_DIR)), mode="calendar_month"))
         ),
+        "keys profiled, tables plain": lambda s: noop(
+            last_month_report(star(s, SF_DIR), "calendar_month")
+        ),
         "keys checked, tables plain": lambda s: noop(
             last_month_report(star(s, SF_DIR), "calendar_month", keys_checked=True)
         ),
