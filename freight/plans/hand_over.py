@@ -15,5 +15,5 @@ def hand_over_latest_drop(
 
     Every task writes its own part; nothing is gathered in one place.
     """
-    export_csv(read_latest_csv(spark, drops, whole_drop=whole_drop), out)
+    export_csv(read_latest_csv(spark, drops, whole_drop=whole_drop, by_name=True), out)
     return read_csv(spark, out)

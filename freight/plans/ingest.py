@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,11 +26,14 @@ def ingest(
     load_date: str | datetime.date | None = None,
     table: str | None = None,
     mode: str = "dynamic",
+    rename: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Read a CSV drop, stage it under ``folder`` and return the staged table.
 
-    The drop is read once, by the write.  ``table`` also registers the folder in the
+    Columns are found by the names in the header, or by ``rename`` from there to the
+    contract.  The drop is read once, by the write.  ``table`` also registers the folder in the
     catalog.  Repeating a load date replaces that date and keeps the others.
     """
-    write_partitioned(stage(read_csv(spark, drop), load_date), folder, mode=mode)
+    raw = read_csv(spark, drop, by_name=True, rename=rename)
+    write_partitioned(stage(raw, load_date), folder, mode=mode)
     return register_table(spark, table, folder) if table else read_staged(spark, folder)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +22,8 @@ def read_csv(
     path: str | list[str],
     schema: T.StructType | None = RAW,
     keep_rejected: bool = False,
+    by_name: bool = False,
+    rename: Mapping[str, str] | None = None,
     **options,
 ) -> DataFrame:
     """CSV with a header row, one file or a folder of them.
@@ -28,6 +32,11 @@ def read_csv(
     Spark binds a declared schema by position, so the header of every file is compared
     with it and a reordered file is an error instead of wrong columns.  A value that
     does not fit its type becomes NULL; ``keep_rejected`` adds the text of such rows.
+
+    ``by_name`` takes the column order from the header of the drop instead: declared
+    columns the header lacks are NULL, others in it are left out, and ``rename`` maps
+    header names to declared ones.  All files of a drop must still share one header.
+
     ``schema=None`` infers the types.
 
     Rows must not span lines (pass ``multiLine=True`` if they do; files then cannot
@@ -37,10 +46,38 @@ def read_csv(
     reader = spark.read.options(**settings)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
+    declared = schema
+    if by_name:
+        header = reader.csv(path).columns  # reads one line
+        names = _declared_names(header, declared, rename or {})
+        types = {field.name: field.dataType for field in declared}
+        schema = T.StructType(
+            [T.StructField(h, types[names[h]] if h in names else T.StringType()) for h in header]
+        )
     if keep_rejected:
-        schema = T.StructType(list(schema.fields) + [T.StructField(REJECTED, T.StringType())])
+        schema = T.StructType([*schema.fields, T.StructField(REJECTED, T.StringType())])
         reader = reader.option("columnNameOfCorruptRecord", REJECTED)
-    return reader.schema(schema).option("enforceSchema", False).csv(path)
+    rows = reader.schema(schema).option("enforceSchema", False).csv(path)
+    if not by_name:
+        return rows
+    found = {name: column for column, name in names.items()}
+    columns = [
+        F.col(f"`{found[field.name]}`") if field.name in found else F.lit(None).cast(field.dataType)
+        for field in declared
+    ]
+    return rows.select(
+        *[c.alias(f.name, metadata=f.metadata) for c, f in zip(columns, declared)],
+        *([REJECTED] if keep_rejected else []),
+    )
+
+
+def _declared_names(
+    header: list[str], declared: T.StructType, rename: Mapping[str, str]
+) -> dict[str, str]:
+    """Header column to declared column, for those that have one; case does not matter."""
+    known = {name.lower(): name for name in declared.names}
+    known.update({theirs.lower(): ours for theirs, ours in rename.items()})
+    return {column: known[column.lower()] for column in header if column.lower() in known}
 
 
 def rejected_rows(df: DataFrame) -> DataFrame:

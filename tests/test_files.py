@@ -71,6 +71,22 @@ def test_csv_reordered_header_is_an_error(spark, tmp_path):
         read_csv(spark, str(tmp_path), SMALL).collect()
 
 
+def test_csv_by_name(spark, tmp_path):
+    write(tmp_path / "a.csv", "ok,note,Price,their id\ntrue,n,2.5,7\nfalse,m,abc,8\n")
+    df = read_csv(spark, str(tmp_path), SMALL, by_name=True, rename={"Their ID": "id"}, keep_rejected=True)
+    assert df.columns == [*SMALL.names, "_rejected"]
+    assert df.dtypes[:4] == [(f.name, f.dataType.simpleString()) for f in SMALL]
+    assert [tuple(row)[:4] for row in df.orderBy("id").collect()] == [(7, None, 2.5, True), (8, None, None, False)]
+    assert [row._rejected for row in rejected_rows(df).collect()] == ["false,m,abc,8"]
+
+
+def test_csv_by_name_needs_one_header_per_drop(spark, tmp_path):
+    write(tmp_path / "a.csv", "id,name,price,ok\n1,x,2,true\n")
+    write(tmp_path / "b.csv", "name,id,price,ok\nx,2,2,true\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        read_csv(spark, str(tmp_path), SMALL, by_name=True).collect()
+
+
 def test_csv_inferred(spark, tmp_path):
     write(tmp_path / "a.csv", "b,a\n1,x\n2,y\n")
     assert read_csv(spark, str(tmp_path), schema=None).dtypes == [("b", "int"), ("a", "string")]
@@ -108,6 +124,17 @@ def test_latest_drop(spark, tmp_path):
     assert (empty.count(), empty.columns) == (0, SMALL.names)
 
 
+def test_ingest_finds_columns_by_name(spark, tmp_path):
+    names = ["pnl", "shipment", "quote_date", "remark"]
+    write(tmp_path / "drop" / "a.csv", ",".join(names) + "\n1.5,9,1/2/2024 9:05,x\n")
+    staged = ingest(
+        spark, str(tmp_path / "drop"), str(tmp_path / "lake"), "2024-05-01", rename={"shipment": KEY}
+    )
+    row = staged.first()
+    assert (row.load_id, row.pnl, row.quote_date) == (9, 1.5, dt.datetime(2024, 1, 2, 9, 5))
+    assert row.lane is None and staged.columns == STAGED.names
+
+
 def raw_line(key, quote, lane):
     values = dict.fromkeys(RAW.names, "")
     values.update(load_id=str(key), quote_date=quote, lane=f'"{lane}"')

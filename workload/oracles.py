@@ -130,6 +130,7 @@ ORACLES: dict[str, str] = {
     "ingest_stamped": _STAGED_ROWS,
     "ingest_end_to_end": _STAGED_ROWS,
     "csv_roundtrip": _RAW_ROWS,
+    "csv_by_name": _RAW_ROWS,
     "csv_headerless_report": f"{_FLAT} select * from flat",
     "latest_drop": f"{_RAW} select * replace ('second drop' as sourcing_channel) from raw",
     "deliver_csv": _RAW_ROWS,

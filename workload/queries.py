@@ -119,6 +119,15 @@ def csv_roundtrip(spark, sf):
     return loads_raw(spark, sf)
 
 
+@query
+def csv_by_name(spark, sf):
+    """A drop with its columns in reverse, another name for the key, and one column too many."""
+    folder = shared_folder(spark, "csv")
+    columns = [F.col(name).alias("shipment" if name == KEY else name) for name in reversed(RAW.names)]
+    export_csv(loads_raw(spark, sf).select(F.lit("x").alias("remark"), *columns), folder)
+    return read_csv(spark, folder, by_name=True, rename={"shipment": KEY})
+
+
 @query
 def csv_headerless_report(spark, sf):
     """The report export has no header row, so it is read back by position."""
