@@ -76,7 +76,6 @@ def _read_by_layout(spark: SparkSession, folder: str) -> list[DataFrame]:
 def _footers(spark: SparkSession, folder: str) -> DataFrame:
     # A nested function ships to executors by value, so they need no copy of this package.
     def read_footers(batches: Iterable) -> Iterator:
-        import pandas as pd
         import pyarrow as pa
         import pyarrow.parquet as pq
         from pyarrow import fs
@@ -95,17 +94,15 @@ def _footers(spark: SparkSession, folder: str) -> DataFrame:
             return schema.remove_metadata().to_string(show_field_metadata=False), None
 
         for batch in batches:
-            found = [layout(path) for path in batch["path"]]
-            yield pd.DataFrame(
-                {
-                    "path": batch["path"],
-                    "layout": pd.Series([f[0] for f in found], dtype=object),
-                    "reason": pd.Series([f[1] for f in found], dtype=object),
-                }
+            paths = batch.column("path").to_pylist()
+            layouts, reasons = zip(*map(layout, paths)) if paths else ((), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(column, pa.string()) for column in (paths, layouts, reasons)],
+                names=["path", "layout", "reason"],
             )
 
     files = listing(spark, folder).select("path")
-    return files.mapInPandas(read_footers, "path string, layout string, reason string")
+    return files.mapInArrow(read_footers, "path string, layout string, reason string")
 
 
 def _targets(

@@ -292,13 +292,13 @@ def test_footer_reader_needs_no_package_on_the_executors(spark, tmp_path, monkey
         taken["func"] = func
         return self.selectExpr("path", "'x' AS layout", "'y' AS reason")
 
-    monkeypatch.setattr(DataFrame, "mapInPandas", take)
+    monkeypatch.setattr(DataFrame, "mapInArrow", take)
     unreadable_files(spark, str(tmp_path / "t"))
     (tmp_path / "func.pkl").write_bytes(cloudpickle.dumps(taken["func"]))
     code = (
-        "import pickle, sys, glob, pandas as pd; f = pickle.load(open('func.pkl', 'rb')); "
-        "p = glob.glob('t/*.parquet')[0]; import os; "
-        "print(next(f([pd.DataFrame({'path': ['file:' + os.path.abspath(p)]})])).layout[0]); "
+        "import glob, os, pickle, sys, pyarrow as pa; f = pickle.load(open('func.pkl', 'rb')); "
+        "path = 'file:' + os.path.abspath(glob.glob('t/*.parquet')[0]); "
+        "print(next(f([pa.RecordBatch.from_pydict({'path': [path]})])).column('layout')[0]); "
         "assert 'freight' not in sys.modules"
     )
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True)

@@ -62,7 +62,8 @@ def test_enrich_modes_agree_on_a_unique_key(loads):
 
 
 def test_enrich_with_copies(spark):
-    df = spark.createDataFrame([(1, "A,B -> C,D"), (1, "E,F -> G,H"), (None, "I,J -> K,L")], "load_id long, lane string")
+    rows = [(1, "A,B -> C,D"), (1, "E,F -> G,H"), (None, "I,J -> K,L")]
+    df = spark.createDataFrame(rows, "load_id long, lane string")
     assert enrich_with_lanes(df, mode="join").count() == 4
     with pytest.raises(KeyNotUnique):
         enrich_with_lanes(df, mode="single")
