@@ -4,19 +4,40 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from freight.llm import byte_bpe
+from freight.llm import byte_bpe, line_windows, mixing, simhash
 from freight.llm.common import table
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op5_line_windows(spark: SparkSession, folder: str) -> DataFrame:
+    kept = line_windows.dedup_lines(table(spark, folder, "documents"))
+    n_chars = F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars")
+    return kept.select("doc_id", "lang", "source", "text", n_chars, "n_lines", "n_removed")
+
+
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.token_digests(table(spark, folder, "documents"), BPE_RANKS)
 
 
+def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"))
+
+
+def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"), words=3, radius=2)
+
+
 QUERIES = {
+    "op5_line_windows": op5_line_windows,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_mixing": op8_mixing,
+    "op9_simhash": op9_simhash,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_line_windows": line_windows.ORACLE,
+    "op8_mixing": mixing.ORACLE,
+}
