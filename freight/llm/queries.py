@@ -6,12 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freight.llm import byte_bpe, line_windows, mixing, simhash
-from freight.llm.common import table
+from freight.llm import byte_bpe, language, line_windows, mixing, simhash
+from freight.llm.common import parted, table
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op1_language(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang", parted("doc_id", 5, 0).alias("held_out"))
+    model = language.train(documents.where("not held_out"))
+    return language.identify(documents, model).select("doc_id", "held_out", "language.*")
+
+
 def op5_line_windows(spark: SparkSession, folder: str) -> DataFrame:
     kept = line_windows.dedup_lines(table(spark, folder, "documents"))
     n_chars = F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars")
@@ -31,6 +37,7 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language": op1_language,
     "op5_line_windows": op5_line_windows,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_mixing": op8_mixing,
