@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freight.llm import byte_bpe, language, line_windows, mixing, simhash
+from freight.llm import byte_bpe, language, line_windows, mixing, pivots, simhash, winnowing
 from freight.llm.common import parted, table
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -18,6 +18,10 @@ def op1_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(documents, model).select("doc_id", "held_out", "language.*")
 
 
+def op3_winnowing(spark: SparkSession, folder: str) -> DataFrame:
+    return winnowing.edits(table(spark, folder, "documents"))
+
+
 def op5_line_windows(spark: SparkSession, folder: str) -> DataFrame:
     kept = line_windows.dedup_lines(table(spark, folder, "documents"))
     n_chars = F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars")
@@ -36,15 +40,22 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), words=3, radius=2)
 
 
+def op10_pivots(spark: SparkSession, folder: str) -> DataFrame:
+    return pivots.top_inner_products(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
 QUERIES = {
     "op1_language": op1_language,
+    "op3_winnowing": op3_winnowing,
     "op5_line_windows": op5_line_windows,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
+    "op10_pivots": op10_pivots,
 }
 
 ORACLES: dict[str, str] = {
     "op5_line_windows": line_windows.ORACLE,
     "op8_mixing": mixing.ORACLE,
+    "op10_pivots": pivots.ORACLE,
 }
