@@ -1,0 +1,54 @@
+"""The pipeline against a plain version of its stages."""
+
+from collections import Counter
+
+import corpus_pipeline
+from freight.llm import byte_bpe, language, mixing
+from freight.llm.common import parted
+from tests.llm.test_line_windows import plain as plain_lines
+from tests.llm.test_simhash import plain_components, plain_fingerprint
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_against_plain_version(spark):
+    documents = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language.train(documents.where(~parted("doc_id", 5, 0)))
+    rows = {}
+    for r in documents.collect():
+        vector = language.features(r.text)
+        if vector is not None and model.decode(vector[None])[1][0] >= language.CERTAIN:
+            rows[r.doc_id] = r
+    texts = {key: text for key, text, _, _ in plain_lines([(r.doc_id, r.text) for r in rows.values()])}
+    prints = [(key, plain_fingerprint(text)) for key, text in texts.items()]
+    kept = {key for (key, _), c in zip(prints, plain_components(prints), strict=True) if key == c}
+    found = corpus_pipeline.run(spark, SF).collect()
+    assert sorted(r.doc_id for r in found) == sorted(kept)
+    words = byte_bpe.vocabulary(corpus_pipeline.RANKS)
+    for r in found:
+        assert r.text == texts[r.doc_id] and r.n_chars == len(r.text)
+        assert (r.lang, r.source) == (rows[r.doc_id].lang, rows[r.doc_id].source)
+        ids, offsets, _ = words.encode([r.text])
+        assert r.token_ids == ids.tolist() and r.token_offsets == offsets.tolist()
+    # the mix: the sources of the written order take their turns as the schedule says
+    sources = Counter(rows[key].source for key in kept)
+    assert Counter(r.source for r in found) == sources
+
+
+def test_columns_and_empty(spark):
+    documents = spark.read.parquet(f"{SF}/documents.parquet")
+    empty = documents.limit(0)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, empty, SF)
+        assert out.columns == documents.columns and out.count() == 0
+    odd = spark.createDataFrame(
+        [(None, None, None, None, 0), (None, "the cat and the dog", "en", None, 3), (7, "the cat and the dog", "en", "a", 3), (7, "the cat and the dog", "en", "a", 3), (8, "", "en", "b", 0)],
+        documents.schema,
+    )
+    docs = odd.selectExpr("*", "1 as language", "2 as mix_slot", "3 as fp")
+    wanted = docs.columns
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+        assert docs.columns == wanted
+    assert [(r.doc_id, r.text) for r in docs.collect()] == [(7, "the cat and the dog")]
+    assert mixing.mix(odd).count() == 5
