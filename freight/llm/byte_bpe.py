@@ -135,10 +135,83 @@ def boundaries(points: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.flatnonzero(starts[at])
 
 
-def _merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of one slice: the pair of lowest rank is merged, leftmost first, until none has a rank."""
-    if piece in ranks:
-        return [ranks[piece]]
+#: Slices of up to so many bytes are merged side by side, in tables of these widths; longer ones by way of a heap.
+WIDTHS = (8, 16, 32, 64)
+_NONE = np.int32(np.iinfo(np.int32).max)
+
+
+class _Pairs:
+    """Ids by pair of ids: an open-addressed table in arrays."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        found = [
+            (ranks[word[:i]] << 32 | ranks[word[i:]], rank)
+            for word, rank in ranks.items()
+            for i in range(1, len(word))
+            if word[:i] in ranks and word[i:] in ranks
+        ]
+        keys, values = (np.array(x, np.int64) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
+        self.log2 = max(4, (8 * len(keys)).bit_length() - 1)
+        self.keys, self.values = np.full(1 << self.log2, -1, np.int64), np.full(1 << self.log2, _NONE, np.int32)
+        slots = self._slot(keys)
+        while len(keys):
+            free = self.keys[slots] == -1
+            self.keys[slots[free]], self.values[slots[free]] = keys[free], values[free]
+            rest = self.keys[slots] != keys  # another key came first, here or before
+            keys, values, slots = keys[rest], values[rest], (slots[rest] + 1) & ((1 << self.log2) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.log2)).astype(np.int64)
+
+    def __call__(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """The id that two ids merge to, or _NONE."""
+        keys = first.astype(np.int64) << 32 | second
+        slots = self._slot(keys)
+        out, there = self.values[slots], self.keys[slots]
+        open_ = np.flatnonzero((there != keys) & (there != -1))
+        out[there != keys] = _NONE
+        while len(open_):
+            slots[open_] = (slots[open_] + 1) & ((1 << self.log2) - 1)
+            there = self.keys[slots[open_]]
+            hit = there == keys[open_]
+            out[open_[hit]] = self.values[slots[open_[hit]]]
+            open_ = open_[~hit & (there != -1)]
+        return out
+
+
+def _merge_table(ids: np.ndarray, sizes: np.ndarray, pairs: _Pairs) -> tuple[np.ndarray, np.ndarray]:
+    """Merges in every row the pair of lowest rank, leftmost first, until none has a rank."""
+    rows, width = ids.shape
+    ids, sizes = ids.copy(), sizes.copy()
+    inside = np.arange(width - 1)[None, :] < sizes[:, None] - 1
+    ranks = np.full((rows, width), _NONE, np.int32)  # of each id with the one after it
+    at = np.nonzero(inside)
+    ranks[at] = pairs(ids[at], ids[at[0], at[1] + 1])
+    active = np.arange(rows)
+    columns = np.arange(width)
+    while True:
+        i = ranks[active].argmin(axis=1)
+        least = ranks[active, i]
+        on = least != _NONE
+        active, i, least = active[on], i[on], least[on]
+        if not len(active):
+            return ids, sizes
+        from_ = np.minimum(columns[None, :] + (columns[None, :] > i[:, None]), width - 1)
+        ids[active] = np.take_along_axis(ids[active], from_, axis=1)
+        moved = np.take_along_axis(ranks[active], from_, axis=1)
+        moved[:, -1] = _NONE
+        ids[active, i] = least
+        sizes[active] -= 1
+        line = np.arange(len(active))
+        moved[line, i] = _NONE
+        after, before = np.flatnonzero(i + 1 < sizes[active]), np.flatnonzero(i > 0)
+        moved[after, i[after]] = pairs(least[after], ids[active[after], i[after] + 1])
+        moved[before, i[before] - 1] = pairs(ids[active[before], i[before] - 1], least[before])
+        ranks[active] = moved
+
+
+def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
+    """The same in n log n steps."""
     n = len(piece)
     left, right, ends = list(range(-1, n - 1)), list(range(1, n + 1)), list(range(1, n + 1))
     heap = [(rank, i, i + 2) for i in range(n - 1) if (rank := ranks.get(piece[i : i + 2])) is not None]
@@ -156,22 +229,86 @@ def _merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
                 heapq.heappush(heap, (rank, i, ends[right[i]]))
         if left[i] >= 0 and (rank := ranks.get(piece[left[i] : end])) is not None:
             heapq.heappush(heap, (rank, left[i], end))
-    return [ranks[piece[i : ends[i]]] for i in range(n) if not gone[i]]
+    return tuple(ranks[piece[i : ends[i]]] for i in range(n) if not gone[i])
 
 
-class _Slices(dict):
-    """Ids by slice of text; slices not seen before are merged, and kept while there is room."""
+class _Slices:
+    """Ids by slice of text.  The cache, when full, becomes the old generation, from which used slices come back."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
+        self.ranks, self.pairs = ranks, _Pairs(ranks)
+        singles = np.array([ranks[bytes([value])] for value in range(256)], np.int32)
+        self.singles = singles
+        self.new: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, tuple[int, ...]] = {}
+
+    def __call__(self, texts: list[str]) -> list[tuple[int, ...]]:
+        found = list(map(self.new.get, texts))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        unknown = []
+        for i in missing:
+            found[i] = self.old.get(texts[i])
+            if found[i] is None:
+                unknown.append(i)
+        pieces = [texts[i].encode() for i in unknown]
+        for i, ids in zip(unknown, self._merged(pieces), strict=True):
+            found[i] = ids
+        for i in missing:
+            if len(texts[i]) <= CACHE_LENGTH:
+                self.new[texts[i]] = found[i]
+        if len(self.new) >= CACHE_SLICES:
+            self.old, self.new = self.new, {}
+        return found
+
+    def _merged(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+        out: list = [None] * len(pieces)
+        by_width: dict[int, list[int]] = {}
+        for i, piece in enumerate(pieces):
+            if (rank := self.ranks.get(piece)) is not None:
+                out[i] = (rank,)
+            elif len(piece) > WIDTHS[-1]:
+                out[i] = _merge_long(piece, self.ranks)
+            else:
+                by_width.setdefault(next(w for w in WIDTHS if len(piece) <= w), []).append(i)
+        for width, rows in by_width.items():
+            table = np.frombuffer(b"".join(pieces[i].ljust(width, b"\0") for i in rows), np.uint8).reshape(-1, width)
+            sizes = np.array([len(pieces[i]) for i in rows])
+            ids, sizes = _merge_table(self.singles[table], sizes, self.pairs)
+            for i, line, n in zip(rows, ids.tolist(), sizes.tolist(), strict=True):
+                out[i] = tuple(line[:n])
+        return out
+
+
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+@lru_cache(maxsize=2)
+def _powers(base: int, n: int) -> np.ndarray:
+    return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, base, np.uint64)]))
+
+
+def _distinct(points: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One number of a slice for each distinct slice, and for each slice the place of its like there.
+
+    Slices are told apart by hashes from running sums; each is then compared with its like, and should two
+    hashes ever agree by chance, every slice counts as distinct.
+    """
+    n = len(points)
+    size = max(1 << 16, 1 << (n - 1).bit_length())
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((points + np.uint64(1)) * _powers(_BASE, size)[:n])])
+    hashes = (sums[starts + lengths] - sums[starts]) * _powers(_INVERSE, size)[starts]
+    _, like, place = np.unique(hashes, return_index=True, return_inverse=True)
+    shift = np.repeat(starts[like[place]] - starts, lengths)
+    if (lengths[like[place]] != lengths).any() or (points[np.arange(n) + shift] != points).any():
+        every = np.arange(len(starts))
+        return every, every
+    return like, place
+
 
-    def __missing__(self, text: str) -> list[int]:
-        ids = _merge(text.encode(), self.ranks)
-        if len(text) <= CACHE_LENGTH:
-            if len(self) >= CACHE_SLICES:
-                self.clear()
-            self[text] = ids
-        return ids
+def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its length, one run behind the other."""
+    return np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(int(lengths.sum()))
 
 
 class Vocabulary:
@@ -194,14 +331,18 @@ class Vocabulary:
         lengths = np.array([len(text) for text in texts], np.int64)
         points = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)
         starts = boundaries(points, lengths)
-        cuts = starts.tolist()
-        merged = list(map(self.slices.__getitem__, map(whole.__getitem__, map(slice, cuts, [*cuts[1:], len(whole)]))))
+        if not len(starts):
+            return np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
+        widths = np.diff(starts, append=len(points))
+        like, place = _distinct(points, starts, widths)
+        merged = self.slices([whole[a : a + n] for a, n in zip(starts[like].tolist(), widths[like].tolist(), strict=True)])
         sizes = np.fromiter(map(len, merged), np.int64, len(merged))
-        ids = np.fromiter(chain.from_iterable(merged), np.int32, int(sizes.sum()))
+        flat = np.fromiter(chain.from_iterable(merged), np.int32, int(sizes.sum()))
+        tokens = sizes[place]
+        ids = flat[_spread((np.cumsum(sizes) - sizes)[place], tokens)]
         firsts = np.searchsorted(starts, np.cumsum(lengths) - lengths)
-        tokens = np.concatenate([[0], np.cumsum(sizes)])
-        begin = tokens[firsts]
-        counts = np.diff(np.append(begin, len(ids)))
+        begin = np.concatenate([[0], np.cumsum(tokens)])[firsts]
+        counts = np.diff(begin, append=len(ids))
         places = np.concatenate([[0], np.cumsum(self.lengths[ids])])
         offsets = places[:-1] - np.repeat(places[begin], counts)
         return ids, offsets.astype(np.int32), counts
@@ -210,8 +351,7 @@ class Vocabulary:
         """The bytes of one text: each token's bytes are placed at its offset."""
         lengths = self.lengths[ids]
         out = np.zeros(size, np.uint8)
-        step = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        out[np.repeat(offsets, lengths) + step] = self.bytes[np.repeat(self.starts[ids], lengths) + step]
+        out[_spread(offsets, lengths)] = self.bytes[_spread(self.starts[ids], lengths)]
         return out.tobytes()
 
 
