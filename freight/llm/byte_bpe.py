@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from freight.llm.common import bound_batches
+
 #: A batch of texts is scanned in pieces of about so many code points; a longer text is scanned alone.
 BATCH_POINTS = 1 << 20
 #: Slices that the cache keeps, and the longest slice that it keeps, in code points.
@@ -418,6 +420,7 @@ def encode_documents(documents: DataFrame, path: str, text: str = "text", into:
 
     Every row is kept as it is: null and empty texts get empty arrays, repeated rows equal ones.
     """
+    bound_batches(documents.sparkSession)
     return documents.withColumn(into, encode(F.col(text), path))
 
 

@@ -40,3 +40,19 @@ def free_name(taken: Iterable[str], name: str) -> str:
 def shuffle_width(spark: SparkSession) -> int:
     """The session's number of shuffle partitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+#: Bytes and rows that go to a Python worker at once.
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 2000
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Keeps Arrow batches of whole texts small for this session, so that workers need little memory.
+
+    Results never depend on it; a session that asks for smaller batches keeps them.
+    """
+    for key, most in (("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES), ("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)):
+        now = spark.conf.get(key)
+        size = int("".join(c for c in now if c.isdigit() or c == "-") or 0)
+        if size <= 0 or size > most:
+            spark.conf.set(key, str(most))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freight.llm import byte_bpe, language, line_windows, mixing, pivots, simhash, winnowing
+from freight.llm import byte_bpe, language, line_windows, mixing, pivots, simhash, toxicity, winnowing
 from freight.llm.common import parted, table
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -18,6 +18,14 @@ def op1_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(documents, model).select("doc_id", "held_out", "language.*")
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text", parted("doc_id", 4, 2).alias("held_out"))
+    labels = table(spark, folder, "labels").where(~parted("doc_id", 4, 2))
+    model = toxicity.train(documents.where("not held_out"), labels)
+    scored = toxicity.score_documents(documents, model, into="score")
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op3_winnowing(spark: SparkSession, folder: str) -> DataFrame:
     return winnowing.edits(table(spark, folder, "documents"))
 
@@ -46,6 +54,7 @@ def op10_pivots(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_language": op1_language,
+    "op2_toxicity": op2_toxicity,
     "op3_winnowing": op3_winnowing,
     "op5_line_windows": op5_line_windows,
     "op7_byte_bpe": op7_byte_bpe,
