@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freight.llm import byte_bpe, language, line_windows, mixing, pivots, simhash, toxicity, winnowing
+from freight.llm import byte_bpe, language, line_windows, mixing, pivots, repeats, simhash, toxicity, winnowing
 from freight.llm.common import parted, table
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -30,6 +30,10 @@ def op3_winnowing(spark: SparkSession, folder: str) -> DataFrame:
     return winnowing.edits(table(spark, folder, "documents"))
 
 
+def op4_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.digests(repeats.remove_repeats(table(spark, folder, "documents")))
+
+
 def op5_line_windows(spark: SparkSession, folder: str) -> DataFrame:
     kept = line_windows.dedup_lines(table(spark, folder, "documents"))
     n_chars = F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars")
@@ -56,6 +60,7 @@ QUERIES = {
     "op1_language": op1_language,
     "op2_toxicity": op2_toxicity,
     "op3_winnowing": op3_winnowing,
+    "op4_repeats": op4_repeats,
     "op5_line_windows": op5_line_windows,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_mixing": op8_mixing,
