@@ -234,7 +234,7 @@ def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
     return tuple(ranks[piece[i : ends[i]]] for i in range(n) if not gone[i])
 
 
-class _Slices:
+class Slices:
     """Ids by slice of text.  The cache, when full, becomes the old generation, from which used slices come back."""
 
     def __init__(self, ranks: dict[bytes, int]):
@@ -308,7 +308,7 @@ def _distinct(points: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tu
     return like, place
 
 
-def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The numbers from each start on, as many as its length, one run behind the other."""
     return np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(int(lengths.sum()))
 
@@ -316,16 +316,20 @@ def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 class Vocabulary:
     """Ranks, the bytes of every id, and the cache of merged slices."""
 
-    def __init__(self, path: str):
+    @staticmethod
+    def read(path: str) -> dict[bytes, int]:
         with open(path, "rb") as lines:
-            self.ranks = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, lines)}
+            return {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, lines)}
+
+    def __init__(self, path: str):
+        self.ranks = self.read(path)
         words = [b""] * (max(self.ranks.values()) + 1)
         for word, rank in self.ranks.items():
             words[rank] = word
         self.lengths = np.array([len(word) for word in words], np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.bytes = np.frombuffer(b"".join(words), np.uint8)
-        self.slices = _Slices(self.ranks)
+        self.slices = Slices(self.ranks)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts, the byte of its text at which each token starts, and tokens per text."""
@@ -341,7 +345,7 @@ class Vocabulary:
         sizes = np.fromiter(map(len, merged), np.int64, len(merged))
         flat = np.fromiter(chain.from_iterable(merged), np.int32, int(sizes.sum()))
         tokens = sizes[place]
-        ids = flat[_spread((np.cumsum(sizes) - sizes)[place], tokens)]
+        ids = flat[spread((np.cumsum(sizes) - sizes)[place], tokens)]
         firsts = np.searchsorted(starts, np.cumsum(lengths) - lengths)
         begin = np.concatenate([[0], np.cumsum(tokens)])[firsts]
         counts = np.diff(begin, append=len(ids))
@@ -353,7 +357,7 @@ class Vocabulary:
         """The bytes of one text: each token's bytes are placed at its offset."""
         lengths = self.lengths[ids]
         out = np.zeros(size, np.uint8)
-        out[_spread(offsets, lengths)] = self.bytes[_spread(self.starts[ids], lengths)]
+        out[spread(offsets, lengths)] = self.bytes[spread(self.starts[ids], lengths)]
         return out.tobytes()
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freight.llm import byte_bpe, language, line_windows, mixing, pivots, repeats, simhash, toxicity, winnowing
+from freight.llm import attention_lm, byte_bpe, language, line_windows, mixing, pivots, repeats, simhash, toxicity, winnowing
 from freight.llm.common import parted, table
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -40,6 +40,11 @@ def op5_line_windows(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "lang", "source", "text", n_chars, "n_lines", "n_removed")
 
 
+def op6_attention_lm(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", parted("doc_id", 7, 2).alias("held_out"), "text")
+    return attention_lm.score_documents(documents, attention_lm.train(documents.where("not held_out"), BPE_RANKS))
+
+
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.token_digests(table(spark, folder, "documents"), BPE_RANKS)
 
@@ -62,6 +67,7 @@ QUERIES = {
     "op3_winnowing": op3_winnowing,
     "op4_repeats": op4_repeats,
     "op5_line_windows": op5_line_windows,
+    "op6_attention_lm": op6_attention_lm,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
