@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def cast_or_null(column: Column, found: T.DataType, wanted: T.DataType) -> Column:
     """``column`` as ``wanted``, NULL where it does not fit.
 
+    A number fits if nothing is lost: cast back, it must be the same number.
+
     Types with no direct cast between them, such as boolean and timestamp, go by way
     of text, so that the query is valid whatever types a file brings.
     """
     if found == wanted:
         return column
     if isinstance(found, T.NumericType) and isinstance(wanted, T.NumericType):
-        return column.try_cast(wanted)
+        fitted = column.try_cast(wanted)
+        return F.when(fitted.try_cast(found).eqNullSafe(column), fitted)
     return column.cast("string").try_cast(wanted)

@@ -50,8 +50,8 @@ def require_unique(df: DataFrame, key: str = KEY) -> None:
         raise KeyNotUnique(f"{repeated} values of {key} occur more than once")
 
 
-def duplicate_profile(df: DataFrame, key: str = KEY, top: int | None = 20) -> DataFrame:
-    """Rows per key, most frequent first; ``top`` keys, all of them if None."""
+def duplicate_profile(df: DataFrame, key: str = KEY, top: int | None = None) -> DataFrame:
+    """Rows per key, most frequent first; all keys, or the ``top`` ones."""
     totals = df.groupBy(key).agg(F.count("*").alias("total")).orderBy(F.desc("total"), key)
     return totals if top is None else totals.limit(top)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -15,20 +15,23 @@ from freight.functions.datetimes import month_before
 TABLES = [FACT, *DIMENSIONS]
 
 
-def flatten_star(star: Mapping[str, DataFrame], distinct: Collection[str] = ()) -> DataFrame:
+def flatten_star(star: Mapping[str, DataFrame], distinct: bool = False) -> DataFrame:
     """Fact inner-joined to its five dimensions, reduced to the report columns.
 
-    A key with c, d, ... copies in the six tables comes back c * d * ... times.  The
-    tables named in ``distinct`` are reduced to their distinct report columns before
-    they are joined.  With every table that repeats keys among them, the rows are those
-    of the deduplicated result, since each combination of distinct parts is a distinct
-    row, but copies are gone before they can multiply.
+    A key with c, d, ... copies in the six tables comes back c * d * ... times.  With
+    ``distinct`` each row comes back once: every table is first reduced to one row a key
+    that holds the distinct report columns, merged before its shuffle, so copies never
+    multiply and never meet; the joins need no further shuffle.
     """
 
     def part(name: str) -> DataFrame:
         columns = [column for column, table in REPORT_SOURCES if table == name]
         rows = star[name].select(KEY, *columns).where(F.col(KEY).isNotNull())
-        return (rows.dropDuplicates() if name in distinct else rows).alias(name)
+        if distinct and columns:
+            rows = rows.groupBy(KEY).agg(F.collect_set(F.struct(*columns)).alias(f"of_{name}"))
+        elif distinct:
+            rows = rows.groupBy(KEY).agg(F.lit(True).alias(f"of_{name}"))
+        return rows.alias(name)
 
     # The report filters deliveries: with that table first, every later join has only
     # the filtered rows on its left.
@@ -36,7 +39,13 @@ def flatten_star(star: Mapping[str, DataFrame], distinct: Collection[str] = ())
     flat = part(first)
     for name in others:
         flat = flat.join(part(name), F.col(f"{first}.{KEY}") == F.col(f"{name}.{KEY}"), "inner")
-    return flat.select(f"{FACT}.{KEY}", *[f"{table}.{column}" for column, table in REPORT_SOURCES])
+    if not distinct:
+        return flat.select(f"{FACT}.{KEY}", *[f"{table}.{column}" for column, table in REPORT_SOURCES])
+    tables = list(dict.fromkeys(table for _, table in REPORT_SOURCES))
+    flat = flat.select(f"{FACT}.{KEY}", *[f"of_{table}" for table in tables])
+    for table in tables:
+        flat = flat.select("*", F.explode(f"of_{table}").alias(table))
+    return flat.select(KEY, *[f"{table}.{column}" for column, table in REPORT_SOURCES])
 
 
 def key_profile(star: Mapping[str, DataFrame]) -> DataFrame:

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-import operator
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freight.contract import DIMENSIONS, FACT_COLUMNS, FACT_SOURCES, KEY, LANE, LANE_PARTS, described
 from freight.functions.text import lane_parts
 from freight.operators.quality import require_unique
 
+_COPIES = "decimal(38,0)"
+
 
 def build_dimensions(loads: DataFrame) -> dict[str, DataFrame]:
     """One frame per dimension, each a projection of ``loads`` with documented columns."""
@@ -75,9 +76,12 @@ def _fact_by_joins(loads: DataFrame, dimensions: Mapping[str, DataFrame]) -> Dat
 
 
 def _fact_counted(loads: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
-    # Counts are doubles: their product soon leaves the range of integers.
+    # Counts are decimals without a fraction: a product beyond 38 digits is an error, never a rounded number.
     def merged(rows: DataFrame, count: str) -> DataFrame:
-        return rows.groupBy(*rows.columns).agg(F.count("*").cast("double").alias(count))
+        return rows.groupBy(*rows.columns).agg(F.count("*").cast(_COPIES).alias(count))
+
+    def times(left: Column, right: Column) -> Column:
+        return (left * right).cast(_COPIES)
 
     keys = merged(loads.select(KEY), "n_source")
     fact = keys.where(F.col(KEY).isNotNull())
@@ -86,7 +90,7 @@ def _fact_counted(loads: DataFrame, dimensions: Mapping[str, DataFrame]) -> Data
         counts.append(f"n_{name}")
         part = dimensions[name].select(KEY, *columns).where(F.col(KEY).isNotNull())
         fact = fact.join(merged(part, counts[-1]), on=KEY, how="left")
-    copies = reduce(operator.mul, [F.coalesce(F.col(n), F.lit(1.0)) for n in counts])
+    copies = reduce(times, [F.coalesce(F.col(n), F.lit(1).cast(_COPIES)) for n in counts])
     fact = fact.select(*[described(c) for c in FACT_COLUMNS], copies.alias("copies"))
     unkeyed = keys.where(F.col(KEY).isNull()).select(
         *[F.lit(None).cast(field.dataType).alias(field.name) for field in fact.schema[:-1]], "n_source"

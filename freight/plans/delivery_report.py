@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from freight.operators.report import TABLES, flatten_star, key_profile, last_period
+from freight.contract import KEY
+from freight.operators.report import dedupe, flatten_star, key_profile, last_period
 
 
 def last_month_report(
@@ -14,21 +16,18 @@ def last_month_report(
 ) -> DataFrame:
     """The flattened star, one month before its latest delivery, each row once.
 
-    In general the tables may repeat keys or hold different ones, so their keys are
-    profiled first; one row reaches the driver.  Tables that repeat a key are reduced to
-    distinct rows before the joins, and the month is that before the latest delivery
-    of the keys that all tables share.
+    In general the tables may repeat keys or hold different ones: the month is that before
+    the latest delivery of the keys that all tables share, found by one aggregate over
+    the keys inside the same query, and copies are merged within each table.
 
     ``keys_checked=True`` says that the star was built in ``single`` mode: every table has
-    the same keys, none of them twice.  Nothing is profiled then, and the latest date is
-    that of ``dim_delivery`` alone, a scan of one column.
+    the same keys, none of them twice.  The latest date is then that of ``dim_delivery``
+    alone, a scan of one column, and the tables are joined as they are; the few rows that are
+    left are still deduplicated, should the promise be wrong.
     """
+    deliveries = star["dim_delivery"]
     if keys_checked:
-        repeated, anchor = [], star["dim_delivery"].where("load_id IS NOT NULL")
-    else:
-        profile = key_profile(star).first()
-        repeated = [name for name in TABLES if profile[name] > 1]
-        anchor = star["dim_delivery"].sparkSession.createDataFrame(
-            [(profile.delivery_date,)], "delivery_date timestamp_ntz"
-        )
-    return last_period(flatten_star(star, distinct=repeated), "delivery_date", mode, anchor)
+        flat = last_period(flatten_star(star), "delivery_date", mode, deliveries.where(F.col(KEY).isNotNull()))
+        return dedupe(flat)
+    month = last_period(deliveries, "delivery_date", mode, key_profile(star))
+    return flatten_star({**star, "dim_delivery": month}, distinct=True)

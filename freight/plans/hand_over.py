@@ -5,15 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from freight.sinks.exports import export_csv
-from freight.sources.drops import read_csv, read_latest_csv
+from freight.sources.drops import latest_file, latest_folder, read_text_csv
 
 
 def hand_over_latest_drop(
     spark: SparkSession, drops: str, out: str, whole_drop: bool = True
 ) -> DataFrame:
-    """Copy the latest drop below ``drops`` to ``out`` and return what was written.
+    """Copy the latest drop below ``drops`` to ``out`` and return what was written, as text.
 
-    Every task writes its own part; nothing is gathered in one place.
+    The drop goes out with the columns and values it has, whether or not the contract knows them.
+    Every task writes its own part; nothing is gathered in one place.  Without a drop it raises
+    ``FileNotFoundError``.
     """
-    export_csv(read_latest_csv(spark, drops, whole_drop=whole_drop, by_name=True), out)
-    return read_csv(spark, out)
+    path = latest_folder(spark, drops) if whole_drop else latest_file(spark, drops)
+    if path is None:
+        raise FileNotFoundError(f"no drop below {drops}")
+    export_csv(read_text_csv(spark, path), out)
+    return read_text_csv(spark, out)

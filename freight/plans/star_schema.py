@@ -25,12 +25,15 @@ def materialise_star(
 
     In ``single`` mode the key is checked before anything is written, and every table is
     a projection of ``loads``: six pruned scans, no shuffle.  In ``join`` mode the fact
-    is joined from the written dimensions.
+    is joined from the written dimensions; ``quality.fan_out`` tells beforehand how many
+    rows that makes.  The counted fact has another grain and is not part of a star.
 
     ``buckets`` places all tables by key, which costs one shuffle per table here and
     saves all of them in each later join of the star: worth it when reports are run
     repeatedly.  Without ``folder`` the tables go to the warehouse.
     """
+    if mode not in ("single", "join"):
+        raise ValueError("mode must be 'single' or 'join'")
     if mode == "single":
         require_unique(loads, KEY)
 

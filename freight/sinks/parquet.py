@@ -10,8 +10,6 @@ from freight.sources.catalog import ensure_database
 from freight.sources.files import listing
 
 _BUCKET_BYTES = 256 << 20
-_FEWEST_BUCKETS = 8
-_MOST_BUCKETS = 100_000  # Spark's own default limit
 
 
 def write_partitioned(
@@ -70,6 +68,13 @@ def save_table(
 
 
 def bucket_count(spark: SparkSession, folder: str, bytes_per_bucket: int = _BUCKET_BYTES) -> int:
-    """Buckets that hold about ``bytes_per_bucket`` of the wide table stored in ``folder``."""
+    """Buckets that hold about ``bytes_per_bucket`` of the wide table stored in ``folder``.
+
+    Raises ValueError beyond the session's limit of buckets (``spark.sql.sources.bucketing.maxBuckets``).
+    """
     stored = listing(spark, folder).agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first().n
-    return min(_MOST_BUCKETS, max(_FEWEST_BUCKETS, -(-stored // bytes_per_bucket)))
+    buckets = max(1, -(-stored // bytes_per_bucket))
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    if buckets > most:
+        raise ValueError(f"{buckets} buckets are needed; spark.sql.sources.bucketing.maxBuckets allows {most}")
+    return buckets

@@ -7,7 +7,9 @@ from freight.sources.drops import (
     latest_folder,
     read_csv,
     read_latest_csv,
+    read_text_csv,
     rejected_rows,
+    undeclared_columns,
 )
 from freight.sources.lake import inventory, read_staged, read_tables, table_paths
 
@@ -19,10 +21,12 @@ __all__ = [
     "read_latest_csv",
     "read_staged",
     "read_tables",
+    "read_text_csv",
     "read_with_drift",
     "register_table",
     "registered_tables",
     "rejected_rows",
     "table_paths",
+    "undeclared_columns",
     "unreadable_files",
 ]

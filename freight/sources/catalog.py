@@ -31,10 +31,11 @@ def register_table(
     schema: T.StructType = STAGED,
     partitioned_by: str | None = LOAD_DATE,
 ) -> DataFrame:
-    """Declare ``folder`` as the external table ``name`` and pick up its partitions.
+    """Declare ``folder`` as the external table ``name`` with the partitions it has now.
 
-    Column comments of ``schema`` go into the catalog.  Running it again after a new
-    load date only adds the new partition.
+    Column comments of ``schema`` go into the catalog.  Running it again follows the folder: new load
+    dates are added and removed ones go; another folder or schema replaces the definition,
+    never the data.  A table that owns its data is not replaced: that raises ``ValueError``.
     """
     ensure_database(spark, name)
     columns = ", ".join(
@@ -43,16 +44,34 @@ def register_table(
         for f in schema
     )
     by = f"PARTITIONED BY ({quoted(partitioned_by)})" if partitioned_by else ""
+    if spark.catalog.tableExists(name) and not _declares(spark, name, folder, schema):
+        spark.sql(f"DROP TABLE {quoted(name)}")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {quoted(name)} ({columns}) USING parquet {by} "
         f"LOCATION {_literal(folder)}"
     )
     if partitioned_by:
-        spark.catalog.recoverPartitions(name)
+        spark.sql(f"MSCK REPAIR TABLE {quoted(name)} SYNC PARTITIONS")
     spark.catalog.refreshTable(name)
     return spark.table(name)
 
 
+def _declares(spark: SparkSession, name: str, folder: str, schema: T.StructType) -> bool:
+    """Whether the external table ``name`` has this folder and these columns."""
+    described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(name)}").collect()}
+    if described.get("Type") != "EXTERNAL":
+        raise ValueError(f"{name} is a table with data of its own")
+
+    def bare(path: str) -> str:
+        scheme, _, rest = path.rpartition(":/")
+        return (scheme if scheme not in ("", "file") else "") + "/" + rest.strip("/")
+
+    def shape(fields) -> list[tuple[str, str, str | None]]:
+        return sorted((f.name, f.dataType.simpleString(), f.metadata.get("comment")) for f in fields)
+
+    return bare(described["Location"]) == bare(folder) and shape(spark.table(name).schema) == shape(schema)
+
+
 def registered_tables(spark: SparkSession, database: str) -> list[str]:
     """Names of the tables in ``database``."""
     return sorted(table.name for table in spark.catalog.listTables(database))

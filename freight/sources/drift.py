@@ -14,11 +14,17 @@ from pyspark.sql import types as T
 
 from freight.functions.casts import cast_or_null
 from freight.sources.files import listing
+from freight.workspace import shared_folder
 
 log = logging.getLogger(__name__)
 
-# Narrow to wide: a column that is numeric everywhere takes the widest type seen.
-_NUMERIC_WIDTH = [T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType]
+# Narrow to wide: a column of whole numbers everywhere takes the widest type seen.
+_WHOLE = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
+# With fractions among them, double holds all of these exactly; a float holds the two shortest.
+_EXACT_IN_DOUBLE = {T.ByteType, T.ShortType, T.IntegerType, T.FloatType, T.DoubleType}
+_EXACT_IN_FLOAT = {T.ByteType, T.ShortType, T.FloatType}
+# What Spark says of files that do not merge, or are not Parquet; other errors are raised.
+_DO_NOT_MERGE = ("CANNOT_MERGE_SCHEMAS", "COLUMN_ALREADY_EXISTS", "UNABLE_TO_INFER_SCHEMA", "is not a Parquet file")
 
 
 def read_with_drift(
@@ -29,8 +35,10 @@ def read_with_drift(
     Spark's own schema merge covers added and missing columns.  It refuses files that
     disagree on a type, and files that are not Parquet.  Only then are the files
     grouped by footer schema, each group read once and cast: to ``contract`` where it
-    names the column, otherwise to the widest numeric type or to string.  The plan
-    has one scan per distinct schema, never one per file.
+    names the column, otherwise to the narrowest number type that holds all values exactly,
+    or to string where there is none.  Names that differ in case only are one column, under the
+    contract's or the first spelling.  The plan has one scan per distinct schema, never
+    one per file.
 
     Files without a Parquet footer are logged and left out (``unreadable_files`` lists
     them).  ``ignoreCorruptFiles`` is not used: it would also pass over files that a
@@ -39,6 +47,8 @@ def read_with_drift(
     try:
         whole = spark.read.option("mergeSchema", True).parquet(folder)
     except (PySparkException, Py4JError) as refused:
+        if not any(said in str(refused) for said in _DO_NOT_MERGE):
+            raise
         log.warning("schemas of %s do not merge, reading by layout: %s", folder, type(refused))
         whole = None
     if whole is not None:
@@ -60,15 +70,27 @@ def unreadable_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _read_by_layout(spark: SparkSession, folder: str) -> list[DataFrame]:
-    # Paths reach the driver here, as they do in every file scan Spark plans; the
-    # schema texts, far longer than a path, stay behind as digests.
-    files = _footers(spark, folder).select("path", F.md5("layout").alias("layout"))
+    # The driver gets a line for each folder and layout; the paths of files only for
+    # folders that hold several layouts, or sub-folders.  Schema texts stay behind as digests.
+    files = _footers(spark, folder).select(
+        "path", F.md5("layout").alias("layout"), F.regexp_replace("path", "/[^/]*$", "").alias("parent")
+    )
+    files = written(files, "footers")
+    kinds = files.groupBy("parent", "layout").agg(F.count("*").alias("files"), F.min("path").alias("path")).collect()
+    parents = [row.parent for row in kinds]
+    mixed = {p for p in parents if parents.count(p) > 1} if len(parents) > len(set(parents)) else set()
+    ordered = sorted(set(parents))
+    mixed |= {a for a, b in zip(ordered, ordered[1:]) if b.startswith(a + "/")}
     by_layout: dict[str | None, list[str]] = {}
-    for row in files.collect():
-        by_layout.setdefault(row.layout, []).append(row.path)
-    skipped = by_layout.pop(None, [])
-    if skipped:
-        log.warning("skipping %d files that are not Parquet, among them %s", len(skipped), skipped[:5])
+    for row in kinds:
+        if row.layout is None:
+            log.warning("skipping %d files of %s that are not Parquet, such as %s", row.files, row.parent, row.path)
+        elif row.parent not in mixed:
+            by_layout.setdefault(row.layout, []).append(row.parent)
+    if mixed:
+        single = files.where(F.col("parent").isin(sorted(mixed)) & F.col("layout").isNotNull())
+        for row in single.select("path", "layout").collect():
+            by_layout.setdefault(row.layout, []).append(row.path)
     reader = spark.read.option("basePath", folder)
     return [reader.parquet(*sorted(paths)) for _, paths in sorted(by_layout.items())]
 
@@ -105,33 +127,48 @@ def _footers(spark: SparkSession, folder: str) -> DataFrame:
     return files.mapInArrow(read_footers, "path string, layout string, reason string")
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` stored in the shared folder and read again, so that footers are opened once."""
+    path = shared_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _targets(
     schemas: list[T.StructType], contract: T.StructType | None
 ) -> dict[str, T.DataType]:
     """The type each column is to have, in first-seen order."""
     seen: dict[str, set[T.DataType]] = {}
+    spelling: dict[str, str] = {}
+    declared = {field.name.lower(): field.dataType for field in contract or []}
+    for field in contract or []:
+        spelling[field.name.lower()] = field.name
     for schema in schemas:
         for field in schema:
-            seen.setdefault(field.name, set()).add(field.dataType)
-    declared = {field.name: field.dataType for field in contract or []}
-    names = list(declared) + [name for name in seen if name not in declared]
-    return {name: declared.get(name) or _widest(seen[name]) for name in names}
+            seen.setdefault(field.name.lower(), set()).add(field.dataType)
+            spelling.setdefault(field.name.lower(), field.name)
+    return {name: declared.get(key) or _widest(seen[key]) for key, name in spelling.items()}
 
 
 def _widest(kinds: set[T.DataType]) -> T.DataType:
     if len(kinds) == 1:
         return next(iter(kinds))
-    if all(type(kind) in _NUMERIC_WIDTH for kind in kinds):
-        return max(kinds, key=lambda kind: _NUMERIC_WIDTH.index(type(kind)))
+    found = {type(kind) for kind in kinds}
+    if found <= set(_WHOLE):
+        return max(kinds, key=lambda kind: _WHOLE.index(type(kind)))
+    if found <= _EXACT_IN_FLOAT:
+        return T.FloatType()
+    if found <= _EXACT_IN_DOUBLE:
+        return T.DoubleType()
     return T.StringType()
 
 
 def _fit(df: DataFrame, targets: dict[str, T.DataType]) -> DataFrame:
-    present = {field.name: field.dataType for field in df.schema}
+    present = {field.name.lower(): field.dataType for field in df.schema}
     columns = []
     for name, wanted in targets.items():
-        if name in present:
-            column = cast_or_null(F.col(name), present[name], wanted)
+        if name.lower() in present:
+            column = cast_or_null(F.col(f"`{name}`"), present[name.lower()], wanted)
         else:
             column = F.lit(None).cast(wanted)
         columns.append(column.alias(name))

@@ -24,6 +24,7 @@ def read_csv(
     keep_rejected: bool = False,
     by_name: bool = False,
     rename: Mapping[str, str] | None = None,
+    keep_undeclared: bool = False,
     **options,
 ) -> DataFrame:
     """CSV with a header row, one file or a folder of them.
@@ -34,8 +35,9 @@ def read_csv(
     does not fit its type becomes NULL; ``keep_rejected`` adds the text of such rows.
 
     ``by_name`` takes the column order from the header of the drop instead: declared
-    columns the header lacks are NULL, others in it are left out, and ``rename`` maps
-    header names to declared ones.  All files of a drop must still share one header.
+    columns the header lacks are NULL, others in it are left out unless
+    ``keep_undeclared`` adds them as text, and ``rename`` maps header names to declared
+    ones.  All files of a drop must still share one header.
 
     ``schema=None`` infers the types.
 
@@ -65,12 +67,33 @@ def read_csv(
         F.col(f"`{found[field.name]}`") if field.name in found else F.lit(None).cast(field.dataType)
         for field in declared
     ]
+    others = [F.col(f"`{h}`") for h in header if h not in names] if keep_undeclared else []
     return rows.select(
         *[c.alias(f.name, metadata=f.metadata) for c, f in zip(columns, declared)],
+        *others,
         *([REJECTED] if keep_rejected else []),
     )
 
 
+def read_text_csv(spark: SparkSession, path: str | list[str], **options) -> DataFrame:
+    """CSV with a header row, every column of the header as text, nothing parsed or left out."""
+    reader = spark.read.options(header=True, **DIALECT, **options)
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in reader.csv(path).columns])
+    return reader.schema(schema).option("enforceSchema", False).csv(path)
+
+
+def undeclared_columns(
+    spark: SparkSession,
+    path: str | list[str],
+    declared: T.StructType = RAW,
+    rename: Mapping[str, str] | None = None,
+) -> list[str]:
+    """Columns in the header of a drop that the contract does not name."""
+    header = read_text_csv(spark, path).columns
+    names = _declared_names(header, declared, rename or {})
+    return [column for column in header if column not in names]
+
+
 def _declared_names(
     header: list[str], declared: T.StructType, rename: Mapping[str, str]
 ) -> dict[str, str]:
@@ -94,6 +117,9 @@ def rejected_rows(df: DataFrame) -> DataFrame:
 def latest_file(spark: SparkSession, folder: str) -> str | None:
     """Path of the last file below ``folder`` in key order; None if there is none.
 
+    Listings leave out empty files, so a drop that has nothing else is not seen: whoever
+    must know of it compares the returned path with the drop that was due.
+
     One string reaches the driver, so that the read that follows opens this file alone.
     """
     return listing(spark, folder).agg(F.max("path").alias("path")).first().path

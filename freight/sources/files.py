@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_TASKS_PER_CORE = 4
+
 
 def listing(spark: SparkSession, folder: str) -> DataFrame:
     """Every data file below ``folder`` that is not empty: ``path``, ``length``, ``modified``.
 
-    Only file status is read; the binary reader skips the content column.  The scan
-    is planned in a child session that packs whole terabytes into one split, because
-    the default packing would start a task for every file of 128 MB or more.
+    Only file status is read; the binary reader skips the content column.  The default
+    packing would start a task for every file of 128 MB or more, so partitions are merged
+    down to a few for each core.
     """
-    quiet = spark.newSession()
-    quiet.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 40))
-    files = quiet.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    files = files.coalesce(_TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
     return files.select("path", "length", F.col("modificationTime").alias("modified"))

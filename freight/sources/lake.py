@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from freight.contract import STAGED
 from freight.sources.drift import read_with_drift
@@ -41,10 +42,10 @@ def read_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {name: read_with_drift(spark, f"{folder.rstrip('/')}/{name}") for name in sorted(names)}
 
 
-def read_staged(spark: SparkSession, folder: str) -> DataFrame:
+def read_staged(spark: SparkSession, folder: str, schema: T.StructType = STAGED) -> DataFrame:
     """The staged wide table under its declared schema.
 
     With the schema given, no footer is read for inference and ``loading_date`` stays
     a string; inferred from folder names it would become a date.
     """
-    return spark.read.schema(STAGED).parquet(folder)
+    return spark.read.schema(schema).parquet(folder)

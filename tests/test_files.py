@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from freight.contract import KEY, RAW, STAGED
-from freight.plans import hand_over_latest_drop, ingest
+from freight.plans import UndeclaredColumns, hand_over_latest_drop, ingest
 from freight.sinks import bucket_count, export_csv, save_table, write_partitioned
 from freight.sources import (
     inventory,
@@ -17,6 +17,7 @@ from freight.sources import (
     read_latest_csv,
     read_staged,
     read_tables,
+    read_text_csv,
     read_with_drift,
     register_table,
     registered_tables,
@@ -128,11 +129,26 @@ def test_ingest_finds_columns_by_name(spark, tmp_path):
     names = ["pnl", "shipment", "quote_date", "remark"]
     write(tmp_path / "drop" / "a.csv", ",".join(names) + "\n1.5,9,1/2/2024 9:05,x\n")
     staged = ingest(
-        spark, str(tmp_path / "drop"), str(tmp_path / "lake"), "2024-05-01", rename={"shipment": KEY}
+        spark, str(tmp_path / "drop"), str(tmp_path / "lake"), "2024-05-01", rename={"shipment": KEY},
+        undeclared="drop",
     )
     row = staged.first()
     assert (row.load_id, row.pnl, row.quote_date) == (9, 1.5, dt.datetime(2024, 1, 2, 9, 5))
     assert row.lane is None and staged.columns == STAGED.names
+    args = (spark, str(tmp_path / "drop"), str(tmp_path / "kept"), "2024-05-01")
+    with pytest.raises(UndeclaredColumns, match="remark"):
+        ingest(*args, rename={"shipment": KEY})
+    kept = ingest(*args, rename={"shipment": KEY}, undeclared="keep", table="kept.loads")
+    assert kept.first().remark == "x" and kept.columns[-2:] == ["remark", "loading_date"]
+
+
+def test_ingest_counts_and_keeps_rows_that_do_not_fit(spark, tmp_path, caplog):
+    write(tmp_path / "drop" / "a.csv", "load_id,pnl,lane\n1,abc,x\n2,1.5,y\nz,2,q\n")
+    rejects = str(tmp_path / "rejects")
+    staged = ingest(spark, str(tmp_path / "drop"), str(tmp_path / "lake"), "2024-05-01", rejects=rejects)
+    assert staged.count() == 3 and staged.where("pnl is null").count() == 1
+    assert "2 rows" in caplog.text
+    assert sorted(r._rejected for r in spark.read.parquet(rejects).collect()) == ["1,abc,x", "z,2,q"]
 
 
 def raw_line(key, quote, lane):
@@ -162,7 +178,10 @@ def test_ingest_and_hand_over(spark, tmp_path):
     assert comments[KEY] == STAGED[KEY].metadata["comment"]
 
     delivered = hand_over_latest_drop(spark, str(tmp_path / "drops"), str(tmp_path / "out"), whole_drop=False)
-    assert rows_of(delivered) == rows_of(read_csv(spark, str(tmp_path / "drops")))
+    assert rows_of(delivered) == rows_of(read_text_csv(spark, str(tmp_path / "drops")))
+    with pytest.raises(FileNotFoundError):
+        (tmp_path / "none").mkdir()
+        hand_over_latest_drop(spark, str(tmp_path / "none"), str(tmp_path / "out2"))
 
 
 # -- Parquet -----------------------------------------------------------------
@@ -192,14 +211,25 @@ def test_register_table_twice_picks_up_new_partitions(spark, loads, tmp_path):
     assert register_table(spark, "quoted.`loads`".replace("`", ""), path).count() == 5
     write_partitioned(loads.withColumn("loading_date", F.lit("2024-05-09")), path)
     assert register_table(spark, "quoted.loads", path).count() == 10
+    write_partitioned(loads.limit(2), str(tmp_path / "other"))
+    assert register_table(spark, "quoted.loads", str(tmp_path / "other")).count() == 2
+    save_table(loads, "quoted.owned")
+    with pytest.raises(ValueError, match="its own"):
+        register_table(spark, "quoted.owned", path)
 
 
 def test_bucketed_table_keeps_rows_without_a_key(spark, tmp_path):
     df = spark.createDataFrame([(k,) for k in [1, 2, 3, None, None]], "load_id long")
     table = save_table(df, "buckets.t", str(tmp_path / "b" / "t"), buckets=4)
     assert rows_of(table) == rows_of(df)
-    assert bucket_count(spark, str(tmp_path / "b")) == 8
+    assert bucket_count(spark, str(tmp_path / "b")) == 1
     assert bucket_count(spark, str(tmp_path / "b"), bytes_per_bucket=100) > 8
+    with pytest.raises(ValueError, match="maxBuckets"):
+        spark.conf.set("spark.sql.sources.bucketing.maxBuckets", "2")
+        try:
+            bucket_count(spark, str(tmp_path / "b"), bytes_per_bucket=100)
+        finally:
+            spark.conf.unset("spark.sql.sources.bucketing.maxBuckets")
 
 
 def test_inventory_and_tables(spark, tmp_path):
@@ -230,7 +260,21 @@ def test_drift(spark, tmp_path):
     contract = T.StructType().add("id", "long").add("n", "integer").add("extra", "boolean")
     fitted = read_with_drift(spark, path, contract)
     assert fitted.columns == ["id", "n", "extra", "t"]
-    assert {r.id: r.n for r in fitted.collect()} == {1: 10, 2: None, 3: 2, 4: None, 5: 7}
+    assert {r.id: r.n for r in fitted.collect()} == {1: 10, 2: None, 3: None, 4: None, 5: 7}
+
+
+def test_drift_keeps_numbers_and_names(spark, tmp_path):
+    path = str(tmp_path / "drift")
+    spark.createDataFrame([(16777217, 9007199254740993)], "a int, b long").write.parquet(path)
+    spark.createDataFrame([(1.5, 2.5)], "A float, b double").write.mode("append").parquet(path)
+    found = read_with_drift(spark, path)
+    assert [name.lower() for name in found.columns] == ["a", "b"]
+    assert {tuple(r) for r in found.collect()} == {(16777217.0, "9007199254740993"), (1.5, "2.5")}
+
+
+def test_drift_raises_other_errors(spark, tmp_path):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_with_drift(spark, str(tmp_path / "nowhere"))
 
 
 def test_drift_skips_and_lists_what_is_not_parquet(spark, tmp_path):

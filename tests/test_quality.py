@@ -92,4 +92,10 @@ def test_cluster_settings():
     small = settings_for(10 << 30, cores=400)
     assert small["spark.sql.shuffle.partitions"] == "400"
     assert settings_for(10 << 40, cores=4000)["spark.sql.shuffle.partitions"] == "40960"
-    assert settings_for(100 << 40, cores=4000)["spark.sql.shuffle.partitions"] == "100000"
+    assert settings_for(100 << 40, cores=4000)["spark.sql.shuffle.partitions"] == "409600"
+
+
+def test_numbers_that_lose_digits_are_misfits(spark):
+    odd = spark.createDataFrame([(3.7, 9007199254740993), (4.0, 5)], "a double, b long")
+    wanted = T.StructType().add("a", "integer").add("b", "double")
+    assert {row.column_name: row.misfits for row in conforms(odd, wanted).collect()} == {"a": 1, "b": 1}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from freight.contract import DATE_COLUMNS, DIMENSIONS, FACT_SOURCES, RAW, REPORT_SOURCES
+from freight.contract import COMMENTS, DATE_COLUMNS, DIMENSIONS, FACT_COLUMNS, FACT_SOURCES, RAW, REPORT_SOURCES
 from workload.fixtures import LOAD_DATE
 from workload.queries import NEXT_LOAD_DATE
 
@@ -133,7 +133,49 @@ ORACLES: dict[str, str] = {
     "csv_by_name": _RAW_ROWS,
     "csv_headerless_report": f"{_FLAT} select * from flat",
     "latest_drop": f"{_RAW} select * replace ('second drop' as sourcing_channel) from raw",
-    "deliver_csv": _RAW_ROWS,
+    "deliver_csv": (
+        f"{_RAW} select * exclude (equipment_type) replace (case when not contracted_load then book_price end as book_price), "
+        "'as sent' as remark, case when contracted_load then 'n/a' end as price_note, 31 as n_columns from raw"
+    ),
+    "deliver_one_file": _RAW_ROWS,
+    "ingest_undeclared": (
+        f"{_LOADS} select * replace (case when not contracted_load then book_price end as book_price, "
+        f"null::varchar as equipment_type), 'as sent' as remark, '{LOAD_DATE}' as loading_date from loads"
+    ),
+    "ingest_rejects": f"{_RAW} select load_id, cast(null as double) as book_price, shipper_name from raw where contracted_load",
+    "delivered_misfits": (
+        f"{_RAW} "
+        + " union all ".join(
+            f"select '{f.name}' as column_name, "
+            + (f"count(*) filter ({'contracted_load' if f.name == 'book_price' else 'false'})")
+            + " as misfits from raw"
+            for f in RAW
+            if f.dataType.simpleString() != "string"
+        )
+    ),
+    "last_month_csv": _month_of_flat(_CALENDAR_MONTH),
+    "load_date_today": "select true as today, count(*) as n_loads from orders",
+    "registered_table_follows": (
+        f"select '{NEXT_LOAD_DATE}' as loading_date, 'new' as note, count(*) as n_loads, 1 as n_partitions from orders"
+    ),
+    "drift_widening": (
+        "select o_orderkey, cast(o_orderkey + 16777216 as double) as small, "
+        "cast(o_orderkey + 9007199254740992 as decimal(38,1)) as large from orders union all "
+        "select o_orderkey, o_orderkey % 1000 + 0.5::double as small, "
+        "cast(o_orderkey % 1000 + 0.5 as decimal(38,1)) as large from orders"
+    ),
+    "drift_case": " union all ".join([f"select load_id, pnl from ({_LOADS} select load_id, pnl from loads)"] * 3),
+    "fact_written": f"{_LOADS} {_fact()}",
+    **{f"{name}_written": f"{_LOADS} {_dimension(name)}" for name in DIMENSIONS},
+    "column_comments": (
+        "select t.table_name, t.column_name, t.comment, (select count(*) from orders) as n_rows from (values "
+        + ", ".join(
+            "('{}', '{}', '{}')".format(table, column, COMMENTS[column].replace("'", "''"))
+            for table, columns in [*DIMENSIONS.items(), ("fact_loads", FACT_COLUMNS)]
+            for column in columns
+        )
+        + ") t(table_name, column_name, comment)"
+    ),
     "partition_write_dynamic": _by_load_date([LOAD_DATE, NEXT_LOAD_DATE]),
     "partition_write_static": _by_load_date([NEXT_LOAD_DATE]),
     "partition_write_many_values": (
@@ -174,10 +216,10 @@ ORACLES: dict[str, str] = {
     "fact_single_null_keys": f"{_UNKEYED} {_fact('unkeyed')}",
     "fact_join_duplicates": (
         f"{_LOADS}, twice as (select * from loads union all select * from loads) "
-        f"select *, cast(count(*) as double) as copies from ({_fact('twice')}) group by all"
+        f"select *, cast(count(*) as decimal(38,0)) as copies from ({_fact('twice')}) group by all"
     ),
     "fact_counted_null_keys": (
-        f"{_UNKEYED} select *, cast(count(*) as double) as copies from ({_fact('unkeyed')}) group by all"
+        f"{_UNKEYED} select *, cast(count(*) as decimal(38,0)) as copies from ({_fact('unkeyed')}) group by all"
     ),
     "fact_from_tables": f"{_LOADS} {_fact()}",
     "star_tables": _STAR_COUNTS.format(extra=""),
@@ -204,7 +246,7 @@ ORACLES: dict[str, str] = {
     "report_dedup": f"{_FLAT} select distinct * from (select * from flat union all select * from flat)",
     "duplicate_profile": (
         "select l_orderkey, count(*) as total from lineitem group by l_orderkey "
-        "order by total desc, l_orderkey limit 20"
+        "order by total desc, l_orderkey"
     ),
     "table_counts": " union all ".join(
         f"select '{name}' as table_name, count(*) as n_rows from {name}"
@@ -218,8 +260,9 @@ ORACLES: dict[str, str] = {
         "group by l_orderkey, l_linenumber having count(*) > 1"
     ),
     "dq_unique_key": (
-        f"{_LOADS} select load_id, count(*) as n_records from loads where load_id is not null "
-        "group by load_id having count(*) > 1"
+        f"{_LOADS} select load_id, count(*) as n_records from "
+        "(select * from loads union all select * from loads where load_was_cancelled) "
+        "where load_id is not null group by load_id having count(*) > 1"
     ),
     "dq_key_tests": (
         "select 'not_null' as test, count(*) as failures from lineitem where l_orderkey is null union all "

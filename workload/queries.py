@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from freight.contract import DATE_COLUMNS, KEY, RAW, REPORT_COLUMNS, STAGED
 from freight.operators import (
@@ -39,6 +40,7 @@ from freight.sources import (
     inventory,
     read_csv,
     read_latest_csv,
+    read_text_csv,
     read_staged,
     read_tables,
     read_with_drift,
@@ -149,11 +151,74 @@ def latest_drop(spark, sf):
     return read_latest_csv(spark, folder, whole_drop=True)
 
 
+def _odd_drop(spark, sf):
+    """The raw drop with a column more, a column less, and prices that are no numbers."""
+    price = F.when(F.col("contracted_load"), F.lit("n/a")).otherwise(F.col("book_price").cast("string"))
+    return loads_raw(spark, sf).drop("equipment_type").withColumns({"book_price": price, "remark": F.lit("as sent")})
+
+
 @query
 def deliver_csv(spark, sf):
+    """What is delivered is the drop's own columns and values; here they are read under their types."""
     folder = shared_folder(spark, "drops")
-    export_csv(loads_raw(spark, sf), f"{folder}/drop-1")
-    return hand_over_latest_drop(spark, folder, shared_folder(spark, "delivery"))
+    export_csv(_odd_drop(spark, sf), f"{folder}/drop-1")
+    sent = hand_over_latest_drop(spark, folder, shared_folder(spark, "delivery"))
+    typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in RAW if f.name != "equipment_type"]
+    note = F.when(F.col("book_price").try_cast("double").isNull(), F.col("book_price"))
+    return sent.select(*typed, "remark", note.alias("price_note"), F.lit(len(sent.columns)).alias("n_columns"))
+
+
+@query
+def deliver_one_file(spark, sf):
+    """A drop of one file: the last file below the folder is read, whatever lies beside it."""
+    folder = shared_folder(spark, "drops")
+    export_csv(loads_raw(spark, sf).limit(0), f"{folder}/drop-1")
+    export_csv(loads_raw(spark, sf).coalesce(1), f"{folder}/drop-2")
+    return read_latest_csv(spark, folder)
+
+
+@query
+def ingest_undeclared(spark, sf):
+    """A column that the contract does not name is staged as text; a missing one is empty."""
+    folder, lake = shared_folder(spark, "csv"), shared_folder(spark, "lake")
+    export_csv(_odd_drop(spark, sf), folder)
+    return ingest(spark, folder, lake, LOAD_DATE, table="lake_" + lake.rsplit("-", 1)[1], undeclared="keep")
+
+
+@query
+def ingest_rejects(spark, sf):
+    """The rows that ingest set aside, because a value did not fit its type."""
+    folder, lake, rejects = (shared_folder(spark, what) for what in ("csv", "lake", "rejects"))
+    export_csv(_odd_drop(spark, sf), folder)
+    ingest(spark, folder, lake, LOAD_DATE, undeclared="drop", rejects=rejects)
+    return spark.read.parquet(rejects).select(KEY, "book_price", "shipper_name")
+
+
+@query
+def delivered_misfits(spark, sf):
+    """Of each column of a text drop, how many values do not fit its declared type."""
+    folder = shared_folder(spark, "csv")
+    export_csv(_odd_drop(spark, sf), folder)
+    found = conforms(read_text_csv(spark, folder), RAW)
+    return found.where("status = 'mistyped'").select("column_name", "misfits")
+
+
+@query
+def last_month_csv(spark, sf):
+    """The report carried to its export: one month, each row once, without a header, read back."""
+    folder = shared_folder(spark, "csv")
+    report = last_month_report(star(spark, sf), "calendar_month")
+    export_csv(report, folder, header=False, timestampNTZFormat="yyyy-MM-dd HH:mm:ss")
+    return read_csv(spark, folder, report.schema, header=False, timestampNTZFormat="yyyy-MM-dd HH:mm:ss")
+
+
+@query
+def load_date_today(spark, sf):
+    """Without a given date, rows are stamped with the day of the run."""
+    stamped = stage(loads_raw(spark, sf))
+    return stamped.groupBy((F.col("loading_date") == F.date_format(F.current_date(), "yyyy-MM-dd")).alias("today")).agg(
+        F.count("*").alias("n_loads")
+    )
 
 
 def _two_load_dates(spark, sf, mode):
@@ -195,6 +260,24 @@ def registered_table_counts(spark, sf):
     return register_table(spark, name, folder).groupBy("loading_date").agg(F.count("*").alias("n_loads"))
 
 
+@query
+def registered_table_follows(spark, sf):
+    """One name, registered on a folder, on another, with a column more, and after a load date went."""
+    first, second = shared_folder(spark, "lake"), shared_folder(spark, "lake")
+    name = "follow_" + first.rsplit("-", 1)[1]
+    rows = staged(spark, sf)
+    write_partitioned(rows, first)
+    register_table(spark, name, first)
+    for day in (LOAD_DATE, NEXT_LOAD_DATE):
+        write_partitioned(rows.withColumns({"note": F.lit("new"), "loading_date": F.lit(day)}), second)
+    wider = T.StructType([*STAGED.fields[:-1], T.StructField("note", T.StringType()), STAGED["loading_date"]])
+    register_table(spark, name, second, wider)
+    write_partitioned(rows.withColumns({"note": F.lit("new"), "loading_date": F.lit(NEXT_LOAD_DATE)}), second, mode="static")
+    found = register_table(spark, name, second, wider)
+    partitions = spark.sql(f"SHOW PARTITIONS {name}").count()
+    return found.groupBy("loading_date", "note").agg(F.count("*").alias("n_loads")).withColumn("n_partitions", F.lit(partitions))
+
+
 # -- lake --------------------------------------------------------------------
 
 
@@ -227,6 +310,31 @@ def drift_union(spark, sf):
     return read_with_drift(spark, folder, STAGED).drop("loading_date")
 
 
+@query
+def drift_widening(spark, sf):
+    """Whole numbers and fractions of several widths: no value changes."""
+    folder = shared_folder(spark, "drift")
+    orders = table(spark, sf, "orders")
+    key = F.col("o_orderkey")
+    small, large = (key + 16_777_216).cast("int"), key + 9_007_199_254_740_992
+    orders.select(key, small.alias("small"), large.alias("large")).write.parquet(folder)
+    half = (key % 1000).cast("float") + F.lit(0.5).cast("float")
+    orders.select(key, half.alias("small"), half.cast("double").alias("large")).write.mode("append").parquet(folder)
+    found = read_with_drift(spark, folder)
+    return found.select("o_orderkey", "small", F.col("large").cast("decimal(38,1)").alias("large"))
+
+
+@query
+def drift_case(spark, sf):
+    """A column whose name changes case between files, one of which has another type."""
+    folder = shared_folder(spark, "drift")
+    rows = staged(spark, sf).select(KEY, "pnl")
+    rows.write.parquet(folder)
+    rows.withColumnRenamed("pnl", "PNL").write.mode("append").parquet(folder)
+    rows.select(F.col(KEY).cast("string").alias(KEY), "pnl").write.mode("append").parquet(folder)
+    return read_with_drift(spark, folder).select(F.col(KEY).cast("bigint").alias(KEY), "pnl")
+
+
 @query
 def drift_missing_column(spark, sf):
     """Added and missing columns only: Spark's own schema merge is enough."""
@@ -338,6 +446,33 @@ def star_tables(spark, sf):
     return row_counts(star(spark, sf))
 
 
+@query
+def fact_written(spark, sf):
+    """Every column of the fact as stored."""
+    return star(spark, sf)["fact_loads"]
+
+
+def _written_dimension(name: str) -> Query:
+    return lambda spark, sf: star(spark, sf, bucketed=True)[name]
+
+
+for _name in ("dim_book", "dim_carriers", "dim_delivery", "dim_pickup", "dim_shippers"):
+    QUERIES[f"{_name}_written"] = _written_dimension(_name)
+
+
+@query
+def column_comments(spark, sf):
+    """The comments that the catalog has for the columns of the stored star."""
+    database = star_database(star_folder(spark, sf))
+    rows = [
+        (name, field.name, field.metadata.get("comment"))
+        for name in registered_tables(spark, database)
+        for field in spark.table(f"{database}.{name}").schema
+    ]
+    described = spark.createDataFrame(rows, "table_name string, column_name string, comment string")
+    return described.join(row_counts(star(spark, sf)), "table_name")
+
+
 @query
 def fact_from_tables(spark, sf):
     """The fact as joined from dimensions that were written as bucketed tables."""
@@ -396,7 +531,7 @@ def last_month_repeated_keys(spark, sf):
 
 @query
 def last_month_unchecked(spark, sf):
-    """Keys profiled first; no table repeats one, so the joins run as they are."""
+    """Nothing is known of the keys; copies, had there been any, would go."""
     return last_month_report(star(spark, sf), "calendar_month")
 
 
@@ -447,7 +582,9 @@ def dq_unique(spark, sf):
 
 @query
 def dq_unique_key(spark, sf):
-    return unique(staged(spark, sf))
+    """The loads whose order was cancelled come twice."""
+    rows = staged(spark, sf)
+    return unique(rows.unionAll(rows.where("load_was_cancelled")))
 
 
 @query
