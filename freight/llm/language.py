@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from freight.llm.common import bound_batches
+
 #: Labelled rows on which the classifiers are fitted, about; each language gets an equal part.
 SAMPLE_ROWS = 4000
 #: Bins of hashed n-grams (a power of two), the longest n-gram, and code points counted at once.
@@ -162,6 +164,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", rows: int
     About ``rows`` of them are used, as many of each language as there are or an equal part, picked by
     a hash of the text.  No such row: a model without languages, which finds none.
     """
+    bound_batches(labelled.sparkSession)
     labelled = labelled.select(F.col(lang).alias("label"), F.xxhash64(text).alias("key"), F.col(text).alias("text"))
     labelled = labelled.where("label is not null and text is not null")
     counts = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1).collect()}
@@ -210,4 +213,5 @@ def predict(text: Column, model: Model) -> Column:
 
 def identify(documents: DataFrame, model: Model, text: str = "text", into: str = "language") -> DataFrame:
     """``documents`` with a column ``into`` (see ``predict``), in place of one of that name; every row is kept."""
+    bound_batches(documents.sparkSession)
     return documents.withColumn(into, predict(F.col(text), model))

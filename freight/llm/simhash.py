@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from freight.llm.common import free_name, written
+from freight.llm.common import bound_batches, free_name, written
 from freight.llm.components import components
 
 SEED = 42
@@ -161,6 +161,7 @@ def links(fingerprints: DataFrame, radius: int, parts: int | None = None, tile:
 
 def _marked(documents: DataFrame, words: int, id_column: str, text: str) -> DataFrame:
     """``id, mark, fp`` of every row, stored: ``mark`` is a hash of the text, so that (id, mark) names a document."""
+    bound_batches(documents.sparkSession)
     return written(
         documents.select(
             F.col(id_column).alias("id"), F.xxhash64(text).alias("mark"), fingerprint(F.col(text), words).alias("fp")
