@@ -253,7 +253,7 @@ class Slices:
             if found[i] is None:
                 unknown.append(i)
         pieces = [texts[i].encode() for i in unknown]
-        for i, ids in zip(unknown, self._merged(pieces), strict=True):
+        for i, ids in zip(unknown, self.merged(pieces), strict=True):
             found[i] = ids
         for i in missing:
             if len(texts[i]) <= CACHE_LENGTH:
@@ -262,7 +262,8 @@ class Slices:
             self.old, self.new = self.new, {}
         return found
 
-    def _merged(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+    def merged(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+        """Ids of slices, without the cache."""
         out: list = [None] * len(pieces)
         by_width: dict[int, list[int]] = {}
         for i, piece in enumerate(pieces):
