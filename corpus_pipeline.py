@@ -1,7 +1,8 @@
 """A corpus made ready for training: five stages, each of them one operator of ``freight.llm``.
 
 Every stage takes ``(spark, docs, sf_dir)``; its result is written as Parquet and read again as the next
-one's ``docs``.  All but the last return the columns of ``documents``.
+one's ``docs``.  All but the last return the columns of ``documents``; ordered by the last one's ``mix_slot`` and
+``mix_row``, its rows are in the order of the mix.
 """
 
 from __future__ import annotations
@@ -51,9 +52,17 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with their tokens: ids, and the byte at which each token starts."""
-    tokens = byte_bpe.encode_documents(docs, RANKS, into="tokens")
-    return tokens.select(*docs.columns, F.col("tokens.ids").alias("token_ids"), F.col("tokens.offsets").alias("token_offsets"))
+    """All documents with their tokens, ids and the byte at which each token starts, and their place in the mix.
+
+    The order of stored rows is lost when several files are read again, so ``mix_slot`` and ``mix_row`` carry it.
+    They depend on the rows alone, so they are found again here as ``mix_sources`` had them; columns called so
+    are replaced.
+    """
+    mixed = mixing.mix(docs)
+    tokens = byte_bpe.encode_documents(mixed, RANKS, into="tokens")
+    return tokens.select(
+        *mixed.columns[:-2], F.col("tokens.ids").alias("token_ids"), F.col("tokens.offsets").alias("token_offsets"), "mix_slot", "mix_row"
+    )
 
 
 STAGES = [

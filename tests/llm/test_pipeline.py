@@ -52,3 +52,40 @@ def test_columns_and_empty(spark):
         assert docs.columns == wanted
     assert [(r.doc_id, r.text) for r in docs.collect()] == [(7, "the cat and the dog")]
     assert mixing.mix(odd).count() == 5
+
+
+def plain_slots(blocks, weights):
+    """The source of each slot: of the released blocks the one of earliest deadline."""
+    left, done, t, out = dict(blocks), Counter(), 0, []
+    while left:
+        total = sum(weights[s] for s in left)
+        _, source = min((-(-(done[s] + 1) * total // weights[s]), s) for s in left if done[s] * total // weights[s] <= t)
+        out.append(source)
+        done[source] += 1
+        left[source] -= 1
+        t += 1
+        if not left[source]:
+            del left[source]
+            done, t = Counter(), 0
+    return out
+
+
+def test_rows_carry_the_order_of_the_mix(spark):
+    found = sorted(corpus_pipeline.run(spark, SF).collect(), key=lambda r: (r.mix_slot, r.mix_row))
+    counts = Counter(r.source or "" for r in found)
+    blocks = {source: -(-n // mixing.BLOCK_ROWS) for source, n in counts.items()}
+    assert len(blocks) > 1
+    wanted = plain_slots(blocks, mixing.flattened_weights(counts))
+    size = {slot: Counter(r.source or "" for r in found if r.mix_slot == slot) for slot in {r.mix_slot for r in found}}
+    assert [list(size[slot]) for slot in range(len(wanted))] == [[source] for source in wanted] and len(size) == len(wanted)
+    assert len({(r.mix_slot, r.mix_row) for r in found}) == len(found)
+
+
+def test_order_of_the_mix_survives_files_of_unlike_size(spark, tmp_path):
+    rows = [(i, "word " * (1 + 400 * (i % 3 == 0)) + str(i), "en", "abc"[i % 3], 0) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    wanted = [(r.doc_id, r.mix_slot, r.mix_row) for r in mixing.mix(docs).orderBy("mix_slot", "mix_row").collect()]
+    corpus_pipeline.mix_sources(spark, docs, SF).repartition(7, "source").write.parquet(str(tmp_path / "mixed"))
+    out = corpus_pipeline.encode(spark, spark.read.parquet(str(tmp_path / "mixed")), SF)
+    assert out.columns == [*docs.columns, "token_ids", "token_offsets", "mix_slot", "mix_row"]
+    assert [(r.doc_id, r.mix_slot, r.mix_row) for r in out.orderBy("mix_slot", "mix_row").collect()] == wanted
