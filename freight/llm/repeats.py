@@ -12,6 +12,10 @@ bucket-pointer refinement, from q-grams to whole strings, and only buckets that
 3. For what is left, the bytes of half runs go to a task by bucket.  There, places are refined by sorting on
    the identifiers of later offsets: 25 bytes by their hash, 50 by the two 25s, 100 by the two 50s.
 
+A bucket of more than ``HOT`` runs is never held whole: step 1 takes it in parts, class by class, and instead of
+steps 2 and 3 all strings of its open runs are compared by hashes of 128 bits; their earliest places are found by
+a partial aggregation.
+
 Only hashes, places and the bytes of step 3 are shuffled, and each text once.
 """
 
@@ -32,6 +36,9 @@ SPAN, GRAM = 100, 25
 BYTES_AT_ONCE = 1 << 21
 _BASE = 0x9E3779B97F4A7C15
 _PLACE = 24
+#: More rows of one bucket than this are never held at once: its strings are compared by hashes, in all tasks.
+HOT = 1 << 12
+_SECOND_BASE = 0xC2B2AE3D27D4EB4F
 #: Bytes beside the anchor that all strings of a half run hold.
 _SIDE = (SPAN - GRAM) // 2 + 1
 _NULL_ID = -(1 << 63)
@@ -218,8 +225,117 @@ def _by_bucket(batches, columns: int, settle):
         yield from settle(*(np.concatenate([k[i] for k in kept]) for i in range(columns)))
 
 
+def _settle_hot(leader, bucket, alike, ids, extra, place):
+    """As ``_settle``, for a part of one hot bucket: the first run of every class is left open, as kinds 3 and 4.
+
+    ``leader`` is class, id and start of the first run of the class that the part before ended with, if any.
+    Returns the marks, and the leader for the next part.
+    """
+    start, n, ahead = place >> 16, place >> 8 & 127, place & 255
+    early = (place >> 8 & 128) > 0
+    marks = [_marks(ids[early], extra[early], 0, start[early], (start + n - 1 + SPAN)[early], ids[early])]
+    bucket, alike, ids, extra, start, n, ahead = (x[~early] for x in (bucket, alike, ids, extra, start, n, ahead))
+    if not len(ids):
+        return marks, leader
+    fresh = np.ones(len(ids), bool)
+    fresh[1:] = alike[1:] != alike[:-1]
+    at = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
+    own, first = ids[at], start[at]
+    if leader is not None and leader[0] == alike[0]:
+        own[at == 0], first[at == 0] = leader[1], leader[2]
+        fresh[0] = False
+    later = (ids != own) | (start != first)
+    marks.append(_marks(ids[later], extra[later], 0, start[later], (start + n - 1 + SPAN)[later], ids[later]))
+    leader = (alike[-1], own[-1], first[-1])
+    bucket, ids, extra, start, n, ahead = (x[fresh] for x in (bucket, ids, extra, start, n, ahead))
+    last, turn = start + n - 1, start + ahead - _SIDE
+    for kind, opens, past in ((3, start, np.minimum(last, turn) + 1), (4, np.maximum(start, turn + 1), last + 1)):
+        some = opens < past
+        marks.append(_marks(ids[some], extra[some], kind, opens[some], past[some], bucket[some]))
+    return marks, leader
+
+
 def _settle_runs(batches):
-    yield from _by_bucket(batches, 5, _settle)
+    """Calls ``_settle`` with whole buckets, and ``_settle_hot`` with parts of a bucket of more than ``HOT`` rows."""
+    key, kept, size, hot, leader = None, [], 0, False, None
+
+    def joined():
+        return [np.concatenate([k[i] for k in kept]) for i in range(5)]
+
+    # columns: bucket, class, id, extra, place
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        arrays = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
+        if hot:
+            same = int(np.searchsorted(arrays[0], key, side="right"))
+            if same:
+                marks, leader = _settle_hot(leader, *(a[:same] for a in arrays))
+                yield from marks
+            arrays = [a[same:] for a in arrays]
+            if not len(arrays[0]):
+                continue
+            hot, leader = False, None
+        cut = int(np.searchsorted(arrays[0], arrays[0][-1]))
+        if cut or kept and arrays[0][0] != key:
+            kept.append([a[:cut] for a in arrays])
+            yield from _settle(*joined())
+            kept, size = [], 0
+        key = arrays[0][-1]
+        kept.append([a[cut:] for a in arrays])
+        size += len(arrays[0]) - cut
+        if size > HOT:
+            marks, leader = _settle_hot(None, *joined())
+            yield from marks
+            kept, size, hot = [], 0, True
+    if kept:
+        yield from _settle(*joined())
+
+
+def _strings(batches):
+    """The strings of hot half runs by a hash of 128 bits; ``later``: another of the batch is earlier."""
+    for batch in batches:
+        ids, tags = (batch.column(i).to_numpy() for i in (0, 1))
+        texts, halves = (batch.column(i).to_pylist() for i in (2, 3))
+        found = [(i, h["first"], text[h["first"] : h["past"] - 1 + SPAN]) for i, (text, own) in enumerate(zip(texts, halves, strict=True)) for h in own]
+        some, size = [], 0
+        for at, half in enumerate(found):
+            some.append(half)
+            size += len(half[2])
+            if size <= BYTES_AT_ONCE and at + 1 < len(found):
+                continue
+            own, first, lengths = (np.array(x, np.int64) for x in ([h[0] for h in some], [h[1] for h in some], [len(h[2]) for h in some]))
+            data = np.frombuffer(b"".join(h[2] for h in some), np.uint8)
+            some, size = [], 0
+            counts = lengths - SPAN + 1
+            row = np.repeat(np.arange(len(counts)), counts)
+            inner = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+            places = (np.cumsum(lengths) - lengths)[row] + inner
+            high, low = (Hashes(data, base)(places, places + SPAN).view(np.int64) for base in (_BASE, _SECOND_BASE))
+            doc, tag, start = ids[own[row]], tags[own[row]], first[row] + inner
+            order = np.lexsort((start, doc, low, high))
+            high, low, doc, tag, start = (x[order] for x in (high, low, doc, tag, start))
+            fresh = np.ones(len(doc), bool)
+            fresh[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
+            leader = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
+            later = (doc != doc[leader]) | (start != start[leader])
+            columns = (high, low, doc, tag, start, later)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["high", "low", "id", "tag", "first", "later"])
+
+
+def _hot_covers(rows: DataFrame, marks: DataFrame) -> DataFrame:
+    """Covered bytes of the half runs of hot buckets: strings that are not the earliest of their hash.
+
+    A batch sends one row for each string that it holds, and the least place is taken in part before the shuffle.
+    """
+    halves = marks.groupBy("id", "tag").agg(F.collect_list(F.struct("first", "past")).alias("halves"))
+    strings = rows.join(halves, ["id", "tag"]).select("id", "tag", "text", "halves")
+    strings = written(strings.mapInArrow(_strings, "high long, low long, id long, tag int, first long, later boolean"), "strings")
+    met = strings.where("not later")
+    least = met.groupBy("high", "low").agg(F.min(F.struct("id", "first")).alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    found = met.join(least, ["high", "low"]).where("id != least.id or first != least.first").select("id", "tag", "first")
+    found = found.unionAll(strings.where("later").select("id", "tag", "first"))
+    return found.select("id", "tag", "first", (F.col("first") + SPAN).alias("past"))
 
 
 def _cut(batches):
@@ -342,10 +458,13 @@ def remove_repeats(documents: DataFrame, id_column: str = "doc_id", text: str =
     found = rows.mapInArrow(_find_runs, _RUNS).repartition("route").drop("route")
     found = found.sortWithinPartitions("bucket", "class", "id", "place")
     marks = written(found.mapInArrow(_settle_runs, _MARKS), "marks")
-    halves = marks.where("kind > 0").groupBy("id", "tag").agg(F.collect_list(F.struct("first", "past", "key")).alias("halves"))
+    halves = marks.where("kind in (1, 2)").groupBy("id", "tag").agg(F.collect_list(F.struct("first", "past", "key")).alias("halves"))
     cut = rows.join(halves, ["id", "tag"]).select("id", "tag", "text", "halves").mapInArrow(_cut, "key long, id long, tag int, first long, text binary")
     refined_ = cut.repartition("key").sortWithinPartitions("key").mapInArrow(_refine_halves, "id long, tag int, first long, past long")
     covers = marks.where("kind = 0").select("id", "tag", "first", "past").unionAll(refined_)
+    hot = marks.where("kind > 2")
+    if not hot.isEmpty():
+        covers = covers.unionAll(_hot_covers(rows, hot))
     covers = covers.groupBy("id", "tag").agg(F.collect_list(F.struct("first", "past")).alias("covers"))
     joined = rows.join(covers, ["id", "tag"], "left")
     done = joined.select(

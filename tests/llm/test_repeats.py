@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 
 from freight.llm import repeats
@@ -95,3 +96,37 @@ def test_pieces_of_a_long_text_equal_the_whole(monkeypatch):
     monkeypatch.setattr(repeats, "BYTES_AT_ONCE", 1000)
     assert starts() == whole
     assert np.array_equal(repeats.sliding_least(np.array([3, 1, 2, 5, 4], np.uint64), 2), [1, 1, 2, 4])
+
+
+def test_hot_bucket_of_unlike_surroundings(spark):
+    rng = random.Random(9)
+    some = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    line = some(70)  # shorter than a string, so only its surroundings tell runs apart
+    rows = [(i, some(60) + line + some(60)) for i in range(repeats.HOT + 2500)]
+    # half runs that come again in other batches, before or behind the line
+    for i in range(0, 5000, 7):
+        key, text = rows[i]
+        rows.append((10_000 + i, some(20) + text[:-60] + some(60) if i % 2 else some(60) + text[60:] + some(20)))
+    rows += [(None, rows[3][1]), (20_000, rows[5][1]), (20_001, rows[5][1])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(9)
+    wanted = plain(rows)
+    assert sum(r[2] > 0 for r in wanted) > 700
+    assert found(frame) == wanted
+
+
+def test_a_hot_bucket_is_never_held_whole(monkeypatch):
+    monkeypatch.setattr(repeats, "HOT", 50)
+    held = []
+    for name in ("_settle", "_settle_hot"):
+        old = getattr(repeats, name)
+        monkeypatch.setattr(repeats, name, lambda *a, old=old, name=name: held.append((name, len(a[-1]))) or old(*a))
+    n = 1000
+    columns = {"bucket": [3] * 10 + [7] * n + [9] * 20, "class": [1] * 10 + [i // 300 for i in range(n)] + [5] * 20, "id": list(range(n + 30)), "extra": [0] * (n + 30), "place": [5 << 16 | 3 << 8 | 10] * (n + 30)}
+    whole = pa.table(columns)
+    marks = pa.Table.from_batches(list(repeats._settle_runs(iter(whole.to_batches(max_chunksize=30)))))
+    assert max(size for _, size in held) <= 50 + 30
+    assert {name for name, _ in held} == {"_settle", "_settle_hot"}
+    covered = sorted(r["id"] for r in marks.to_pylist() if r["kind"] == 0)
+    leaders = {0, 10, 310, 610, 910, n + 10}
+    assert covered == [i for i in range(n + 30) if i not in leaders]
+    assert {r["id"] for r in marks.to_pylist() if r["kind"] > 2} == {10, 310, 610, 910}
