@@ -6,8 +6,9 @@ maximisation how often each voter fires on toxic and on clean texts; voters that
 beyond what the label explains share their say.  Labels count as one more voter, and texts without a
 label take part.  A logistic classifier over the same features is then trained on the posterior labels.
 
-Everything is learned from bounded samples (``TOXIC``, ``CLEAN``, ``UNLABELLED`` rows, about), picked by a hash
-of the id and joined by broadcast; scoring is one pass over whole texts, without a shuffle.
+The lexicon is chosen by counts over all labelled rows, by a join that may shuffle texts.  The label model and the classifier learn from bounded
+samples (``TOXIC``, ``CLEAN``, ``UNLABELLED`` rows, about), picked by a hash of the id and joined by broadcast; scoring
+is one pass over whole texts, without a shuffle.
 """
 
 from __future__ import annotations
@@ -180,8 +181,9 @@ def train(documents: DataFrame, labels: DataFrame, id_column: str = "doc_id", te
         every = every.unionAll(texts.where(wide < parts[-1]).select(F.lit(-1).alias("label"), F.lit(1 / parts[-1]).alias("weight"), "text"))
     lexicon = []
     if counts.get(1) and counts.get(0):
-        n = {1: parts[1] * counts[1], 0: parts[0] * counts[0]}
-        entries = known.select(F.col("label") == 1, "text").mapInArrow(_count_entries, "entry string, toxic long, clean long")
+        n = {1: counts[1], 0: counts[0]}
+        # counts are of all labelled rows, the sample is for the label model and the classifier only
+        entries = texts.join(labels, "id").select(F.col("label") == 1, "text").mapInArrow(_count_entries, "entry string, toxic long, clean long")
         entries = entries.groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where(F.col("toxic") >= SUPPORT)
         odds = F.log((F.col("toxic") + 0.5) / (n[1] + 1)) - F.log((F.col("clean") + 0.5) / (n[0] + 1))
         # how much surer the entry makes: log-odds times the root of its support

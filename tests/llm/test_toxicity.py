@@ -41,3 +41,13 @@ def test_odd_rows(spark):
     none = toxicity.train(docs, labels.limit(0))
     assert {r.toxicity < 0.3 for r in toxicity.score_documents(docs, none).collect()} == {True}
     assert toxicity.score_documents(docs.limit(0), model).count() == 0
+
+
+def test_lexicon_counts_all_labelled_rows(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "TOXIC", 30)
+    monkeypatch.setattr(toxicity, "CLEAN", 30)
+    rows = [(i, f"a {'zorgbuk' if i % 40 == 0 else 'vile'} thing" if i % 2 == 0 else "a calm thing", i % 2 == 0) for i in range(800)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(t)) for i, _, t in rows], "doc_id long, toxic int")
+    lexicon = toxicity.train(docs, labels).lexicon
+    assert set(toxicity.entries_of("zorgbuk")) & set(lexicon) and set(toxicity.entries_of("vile")) & set(lexicon)
