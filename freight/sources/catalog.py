@@ -73,5 +73,5 @@ def _declares(spark: SparkSession, name: str, folder: str, schema: T.StructType)
 
 
 def registered_tables(spark: SparkSession, database: str) -> list[str]:
-    """Names of the tables in ``database``."""
-    return sorted(table.name for table in spark.catalog.listTables(database))
+    """Names of the tables in ``database``; the session's temporary views, which the catalog lists too, are none."""
+    return sorted(table.name for table in spark.catalog.listTables(database) if not table.isTemporary)

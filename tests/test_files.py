@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from freight.contract import KEY, RAW, STAGED
+from freight.operators import preview
 from freight.plans import UndeclaredColumns, hand_over_latest_drop, ingest
 from freight.sinks import bucket_count, export_csv, save_table, write_partitioned
 from freight.sources import (
@@ -173,6 +174,7 @@ def test_ingest_and_hand_over(spark, tmp_path):
     assert {tuple(r) for r in staged.groupBy("loading_date").count().collect()} == {
         ("2024-05-01", 2), ("2024-05-02", 2),
     }
+    preview(staged, "loads_preview").collect()
     assert registered_tables(spark, "ingested") == ["loads"]
     comments = {f.name: f.metadata.get("comment") for f in spark.table("ingested.loads").schema}
     assert comments[KEY] == STAGED[KEY].metadata["comment"]

@@ -47,6 +47,13 @@ def test_query_matches_sql(spark, sql, name):
     assert _bag(df.columns, df.collect()) == wanted
 
 
+@pytest.mark.parametrize("name", list(QUERIES))
+def test_query_runs_again(spark, sql, name):
+    """Once more in the session that has run all the others, with what they left behind."""
+    found = contract.queries()[name](spark, str(SF)).count()
+    assert found == sql.execute(f"select count(*) from ({contract.oracle_sql()[name]})").fetchone()[0]
+
+
 def test_entry(spark):
     report = contract.entry(spark)
     assert report.count() == 74
