@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freight.llm import attention_lm, byte_bpe, fill_middle, language, line_windows, mixing, pivots, repeats, simhash, spelling, toxicity, winnowing
+from freight.llm import attention_lm, byte_bpe, fill_middle, language, licenses, line_windows, mixing, pivots, repeats, simhash, spelling, toxicity, winnowing
 from freight.llm.common import parted, table
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -61,6 +61,10 @@ def op10_pivots(spark: SparkSession, folder: str) -> DataFrame:
     return pivots.top_inner_products(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
 
 
+def op11_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.summaries(table(spark, folder, "documents"))
+
+
 def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.text_variants(table(spark, folder, "documents"), every=97)
 
@@ -80,6 +84,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
     "op10_pivots": op10_pivots,
+    "op11_licenses": op11_licenses,
     "op12_spelling": op12_spelling,
     "op13_fill_middle": op13_fill_middle,
 }
@@ -88,5 +93,6 @@ ORACLES: dict[str, str] = {
     "op5_line_windows": line_windows.ORACLE,
     "op8_mixing": mixing.ORACLE,
     "op10_pivots": pivots.ORACLE,
+    "op11_licenses": licenses.ORACLE,
     "op13_fill_middle": fill_middle.ORACLE,
 }
