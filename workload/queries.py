@@ -35,7 +35,7 @@ from freight.operators import (
     unique,
 )
 from freight.plans import hand_over_latest_drop, ingest, last_month_report, stage
-from freight.sinks import export_csv, write_partitioned
+from freight.sinks import export_csv, export_csv_file, write_partitioned
 from freight.sources import (
     inventory,
     read_csv,
@@ -170,11 +170,12 @@ def deliver_csv(spark, sf):
 
 @query
 def deliver_one_file(spark, sf):
-    """A drop of one file: the last file below the folder is read, whatever lies beside it."""
-    folder = shared_folder(spark, "drops")
+    """A drop of one file, written by many tasks; the last file below the folder is handed over as one file."""
+    folder, out = shared_folder(spark, "drops"), f"{shared_folder(spark, 'delivery')}/loads.csv"
     export_csv(loads_raw(spark, sf).limit(0), f"{folder}/drop-1")
-    export_csv(loads_raw(spark, sf).coalesce(1), f"{folder}/drop-2")
-    return read_latest_csv(spark, folder)
+    export_csv_file(loads_raw(spark, sf), f"{folder}/drop-2/loads.csv")
+    hand_over_latest_drop(spark, folder, out, whole_drop=False, single_file=True)
+    return read_csv(spark, out)
 
 
 @query
