@@ -13,16 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from freight.functions.casts import cast_or_null
+from freight.functions.lattice import common_type
 from freight.sources.files import listing
 from freight.workspace import shared_folder
 
 log = logging.getLogger(__name__)
 
-# Narrow to wide: a column of whole numbers everywhere takes the widest type seen.
-_WHOLE = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
-# With fractions among them, double holds all of these exactly; a float holds the two shortest.
-_EXACT_IN_DOUBLE = {T.ByteType, T.ShortType, T.IntegerType, T.FloatType, T.DoubleType}
-_EXACT_IN_FLOAT = {T.ByteType, T.ShortType, T.FloatType}
 # What Spark says of files that do not merge, or are not Parquet; other errors are raised.
 _DO_NOT_MERGE = ("CANNOT_MERGE_SCHEMAS", "COLUMN_ALREADY_EXISTS", "UNABLE_TO_INFER_SCHEMA", "is not a Parquet file")
 
@@ -35,8 +31,9 @@ def read_with_drift(
     Spark's own schema merge covers added and missing columns.  It refuses files that
     disagree on a type, and files that are not Parquet.  Only then are the files
     grouped by footer schema, each group read once and cast: to ``contract`` where it
-    names the column, otherwise to the narrowest number type that holds all values exactly,
-    or to string where there is none.  Names that differ in case only are one column, under the
+    names the column, otherwise to the narrowest type that holds all values exactly (``common_type``: numbers and
+    decimals keep their digits, nested columns are merged field by field), or to string where
+    there is none.  Names that differ in case only are one column, under the
     contract's or the first spelling.  The plan has one scan per distinct schema, never
     one per file.
 
@@ -138,29 +135,16 @@ def _targets(
     schemas: list[T.StructType], contract: T.StructType | None
 ) -> dict[str, T.DataType]:
     """The type each column is to have, in first-seen order."""
-    seen: dict[str, set[T.DataType]] = {}
+    seen: dict[str, list[T.DataType]] = {}
     spelling: dict[str, str] = {}
     declared = {field.name.lower(): field.dataType for field in contract or []}
     for field in contract or []:
         spelling[field.name.lower()] = field.name
     for schema in schemas:
         for field in schema:
-            seen.setdefault(field.name.lower(), set()).add(field.dataType)
+            seen.setdefault(field.name.lower(), []).append(field.dataType)
             spelling.setdefault(field.name.lower(), field.name)
-    return {name: declared.get(key) or _widest(seen[key]) for key, name in spelling.items()}
-
-
-def _widest(kinds: set[T.DataType]) -> T.DataType:
-    if len(kinds) == 1:
-        return next(iter(kinds))
-    found = {type(kind) for kind in kinds}
-    if found <= set(_WHOLE):
-        return max(kinds, key=lambda kind: _WHOLE.index(type(kind)))
-    if found <= _EXACT_IN_FLOAT:
-        return T.FloatType()
-    if found <= _EXACT_IN_DOUBLE:
-        return T.DoubleType()
-    return T.StringType()
+    return {name: declared.get(key) or common_type(seen[key]) for key, name in spelling.items()}
 
 
 def _fit(df: DataFrame, targets: dict[str, T.DataType]) -> DataFrame:

@@ -164,6 +164,19 @@ ORACLES: dict[str, str] = {
         "select o_orderkey, o_orderkey % 1000 + 0.5::double as small, "
         "cast(o_orderkey % 1000 + 0.5 as decimal(38,1)) as large from orders"
     ),
+    "drift_decimal": (
+        "with p as (select o_orderkey as k, cast(o_totalprice as decimal(12,2)) as price from orders) "
+        "select k as o_orderkey, cast(cast(price as decimal(24,5)) as varchar) as price, 'decimal(24,5)' as price_type from p union all "
+        "select k, cast(cast(price + (k % 1000) * cast(0.00001 as decimal(5,5)) as decimal(24,5)) as varchar), 'decimal(24,5)' from p union all "
+        "select k, cast(k + 9007199254740992 as varchar) || '.00000', 'decimal(24,5)' from p"
+    ),
+    "drift_nested": (
+        "select o_orderkey, false as no_place, o_orderstatus as city, o_orderkey % 100 as zip, null as state, "
+        "(o_orderkey % 100) || '/' || o_orderpriority || '/-;' || (o_orderkey % 100 + 1) || '/-/-' as items, "
+        "cast(cast(o_orderdate as date) as timestamp) as shipped from orders union all "
+        "select o_orderkey, o_orderkey % 3 = 0, null, case when o_orderkey % 3 > 0 then o_orderkey end, case when o_orderkey % 3 > 0 then o_orderpriority end, "
+        "o_orderkey || '/-/' || cast(o_totalprice as decimal(12,2)), cast(o_orderdate as timestamp) + to_hours(cast(o_orderkey % 24 as integer)) from orders"
+    ),
     "drift_case": " union all ".join([f"select load_id, pnl from ({_LOADS} select load_id, pnl from loads)"] * 3),
     "fact_written": f"{_LOADS} {_fact()}",
     **{f"{name}_written": f"{_LOADS} {_dimension(name)}" for name in DIMENSIONS},

@@ -325,6 +325,46 @@ def drift_widening(spark, sf):
     return found.select("o_orderkey", "small", F.col("large").cast("decimal(38,1)").alias("large"))
 
 
+@query
+def drift_decimal(spark, sf):
+    """Prices with two digits behind the point, with five, and as whole numbers: all digits stay."""
+    folder = shared_folder(spark, "drift")
+    orders = table(spark, sf, "orders")
+    key, price = F.col("o_orderkey"), F.col("o_totalprice").cast("decimal(12,2)")
+    longer = price + (key % 1000).cast("decimal(3,0)") * F.lit("0.00001").cast("decimal(5,5)")
+    orders.select(key, price.alias("price")).write.parquet(folder)
+    orders.select(key, longer.cast("decimal(16,5)").alias("price")).write.mode("append").parquet(folder)
+    orders.select(key, (key + 9_007_199_254_740_992).alias("price")).write.mode("append").parquet(folder)
+    found = read_with_drift(spark, folder)
+    kind = found.schema["price"].dataType.simpleString()
+    return found.select("o_orderkey", F.col("price").cast("string").alias("price"), F.lit(kind).alias("price_type"))
+
+
+@query
+def drift_nested(spark, sf):
+    """A struct, an array of structs and a date; the second delivery has other fields, wider numbers and times of day."""
+    folder = shared_folder(spark, "drift")
+    orders = table(spark, sf, "orders")
+    key, day = F.col("o_orderkey"), F.col("o_orderdate").cast("timestamp_ntz")
+    small, cents = (key % 100).cast("int"), F.col("o_totalprice").cast("decimal(12,2)")
+    one = {
+        "place": F.struct(F.col("o_orderstatus").alias("city"), small.alias("zip")),
+        "items": F.array(F.struct(small.alias("n"), F.col("o_orderpriority").alias("kind")), F.struct((small + 1).alias("n"), F.lit(None).cast("string").alias("kind"))),
+        "shipped": day.cast("date"),
+    }
+    two = {
+        "place": F.when(key % 3 > 0, F.struct(key.alias("ZIP"), F.col("o_orderpriority").alias("state"))),
+        "items": F.array(F.struct(key.alias("n"), cents.alias("price"))),
+        "shipped": day + F.make_dt_interval(hours=(key % 24).cast("int")),
+    }
+    for values in (one, two):
+        orders.select(key, *(value.alias(name) for name, value in values.items())).write.mode("append").parquet(folder)
+    found = read_with_drift(spark, folder)
+    parts = [F.col(f"place.{name}").alias(name) for name in ("city", "zip", "state")]
+    item = F.transform("items", lambda x: F.concat_ws("/", x["n"], F.coalesce(x["kind"], F.lit("-")), F.coalesce(x["price"].cast("string"), F.lit("-"))))
+    return found.select("o_orderkey", F.col("place").isNull().alias("no_place"), *parts, F.array_join(item, ";").alias("items"), "shipped")
+
+
 @query
 def drift_case(spark, sf):
     """A column whose name changes case between files, one of which has another type."""
