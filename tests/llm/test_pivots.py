@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,3 +52,31 @@ def test_odd_vectors_in_small_blocks(spark, monkeypatch):
     assert search(frame.where("vec_id = 20")) == []
     with pytest.raises(ValueError):
         search(spark.createDataFrame([(20, [1e30])], "vec_id long, embedding array<double>"))
+
+
+def test_far_blocks_are_left_out():
+    """Around far centres, a query scores few groups of its own centre and none of another's block."""
+    rng = np.random.default_rng(3)
+    centres = np.eye(4, 16) * 400
+    vectors = np.floor(np.repeat(centres, 600, axis=0) + rng.normal(0, 12, (2400, 16)))
+    radius2 = float((vectors**2).sum(axis=1).max())
+    raised = pivots._raised(vectors, radius2, True)
+    chosen = pivots._pick(raised, 8)
+    asked = vectors[::100]
+    queries = {"ids": np.arange(0, 2400, 100), "vectors": asked, "squares": (asked**2).sum(axis=1)}
+    queries["distances"] = pivots._distances(pivots._raised(asked, radius2, False), chosen).astype(np.float32)
+    exact = asked @ vectors.T
+    exact[np.arange(len(asked)), queries["ids"]] = -np.inf
+    known = np.sort(exact, axis=1)[:, -5]
+    for block in range(4):
+        some = np.arange(600 * block, 600 * block + 600)
+        distances = pivots._distances(raised[some], chosen).astype(np.float32)
+        order = np.argsort(distances.min(axis=1), kind="stable")
+        candidates = {"ids": some[order], "vectors": vectors[some][order], "distances": distances[order]}
+        best, which, scored = pivots.search_block(queries, candidates, known, radius2, 5)
+        own = queries["ids"] // 600 == block
+        assert scored <= own.sum() * 600
+        for i in np.flatnonzero(own):
+            wanted = sorted((-exact[i, j], j) for j in some)[:5]
+            assert [(-s, j) for s, j in zip(best[i], which[i]) if s >= known[i]] == [w for w in wanted if -w[0] >= known[i]]
+        assert not np.isfinite(best[~own]).any()
