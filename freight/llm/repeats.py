@@ -33,7 +33,7 @@ from freight.llm.common import bound_batches, written
 #: Bytes of a string whose repetition counts, and of the q-grams that open buckets.
 SPAN, GRAM = 100, 25
 #: Bytes that are hashed at once; a longer text is cut into pieces that overlap by a string less one.
-BYTES_AT_ONCE = 1 << 21
+BYTES_AT_ONCE = 1 << 19
 _BASE = 0x9E3779B97F4A7C15
 _PLACE = 24
 #: More rows of one bucket than this are never held at once: its strings are compared by hashes, in all tasks.
