@@ -1,14 +1,14 @@
 """Toxicity by weak supervision: many voters, a generative model of them, a linear classifier.
 
-Voters are lexicon entries (words and beginnings of words that occur in toxic texts more than in others)
-and patterns (shouting, runs of signs).  A generative label model estimates by expectation
-maximisation how often each voter fires on toxic and on clean texts; voters that fire together
-beyond what the label explains share their say.  Labels count as one more voter, and texts without a
+Voters are lexicon entries (words and beginnings of words that toxic texts hold more often than others), entries that
+are frequent in a text, and patterns (shouting, runs of signs).  A generative label model estimates by expectation
+maximisation how often each voter fires on toxic and on clean texts; a voter that keeps silent says something too.
+Voters that fire together beyond what the label explains form a group with one say.  Labels are taken as they are, and texts without a
 label take part.  A logistic classifier over the same features is then trained on the posterior labels.
 
-The lexicon is chosen by counts over all labelled rows, by a join that may shuffle texts.  The label model and the classifier learn from bounded
-samples (``TOXIC``, ``CLEAN``, ``UNLABELLED`` rows, about), picked by a hash of the id and joined by broadcast; scoring
-is one pass over whole texts, without a shuffle.
+The lexicon is chosen by counts over all labelled rows, by one join that shuffles texts at any size.  The label
+model and the classifier learn from bounded samples (``TOXIC``, ``CLEAN``, ``UNLABELLED`` rows, about), picked by a hash
+of the id and joined by broadcast; scoring is one pass over whole texts, without a shuffle.
 """
 
 from __future__ import annotations
@@ -26,16 +26,22 @@ from freight.llm.common import bound_batches
 
 #: Rows of the samples, about.
 TOXIC, CLEAN, UNLABELLED = 3000, 6000, 3000
-#: Entries of the lexicon; least number of toxic texts that hold an entry, and how many times as often as
-#: clean ones; lengths of word beginnings.
-ENTRIES, SUPPORT, LIFT, BEGINNINGS = 600, 4, 7.0, (4, 5, 6, 7, 8)
-#: How often a given label is right, as the label model takes it.
-LABEL_TRUST = 0.995
-ROUNDS, STEPS, DECAY = 8, 12, 1e-5
+#: Entries of the lexicon, and how many candidates there are for them; least number of toxic texts that hold an entry, and
+#: least part of them; how many times as often as clean ones, at least, with how many standard errors to spare.
+ENTRIES, CANDIDATES, SUPPORT, SHARE, LIFT, SPARE = 400, 4000, 4, 0.004, 7.0, 1.0
+#: Lengths of word beginnings; an entry is frequent in a text with so many of its words, and one of so many words at least.
+BEGINNINGS, TWICE, DENSE = (4, 5, 6, 7, 8), 2, 150
+#: Posterior of a labelled text; rounds of the label model; from which correlation on voters share a say; how many firing
+#: voters of a group are told apart; texts added to every count.
+LABEL_TRUST, ROUNDS, ALIKE, LEVELS, SMOOTH = 0.995, 12, 0.15, 3, 0.1
+#: Newton steps and ridge of the classifier.
+STEPS, DECAY = 12, 1e-5
 #: A text is called toxic from this score on.
 THRESHOLD = 0.3
 #: Words whose entries a worker keeps at hand.
 WORDS_KEPT = 1 << 17
+#: Entries whose counts a task keeps before it hands them on.
+ENTRIES_KEPT = 1 << 18
 
 PATTERNS = ("shouting", "exclaiming", "signs")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -47,6 +53,11 @@ def entries_of(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in BEGINNINGS if len(word) > n)]
 
 
+def frequent(count: int, words: int) -> bool:
+    """Whether an entry with ``count`` of the words of a text is frequent in it."""
+    return count >= TWICE and count * DENSE >= words
+
+
 def patterns_of(text: str) -> list[int]:
     """Numbers of the patterns that the text shows."""
     upper = sum(map(str.isupper, text))
@@ -60,7 +71,7 @@ def patterns_of(text: str) -> list[int]:
 
 @dataclass
 class Model:
-    """The lexicon, and the classifier's weights: patterns first, then entries."""
+    """The lexicon, and the classifier's weights: patterns first, then entries.  An entry that ends in ^ must be frequent."""
 
     lexicon: list[str]
     weights: np.ndarray
@@ -72,53 +83,71 @@ class Model:
         """Sorted numbers of the patterns and entries in a text."""
         text = text or ""
         if not self._places:
-            self._places.update((entry, i + len(PATTERNS)) for i, entry in enumerate(self.lexicon))
+            for i, entry in enumerate(self.lexicon, len(PATTERNS)):
+                self._places.setdefault(entry.rstrip("^"), [None, None])[entry.endswith("^")] = i
         if len(self._words) > WORDS_KEPT:
             self._words.clear()
+        words = _WORD.findall(text.lower())
+        counts: Counter = Counter()
+        for word, n in Counter(words).items():
+            entries = self._words.get(word)
+            if entries is None:
+                entries = self._words[word] = [e for e in entries_of(word) if e in self._places]
+            for entry in entries:
+                counts[entry] += n
         found = set(patterns_of(text))
-        for word in set(_WORD.findall(text.lower())):
-            places = self._words.get(word)
-            if places is None:
-                places = self._words[word] = [self._places[e] for e in entries_of(word) if e in self._places]
-            if places:
-                found.update(places)
+        for entry, n in counts.items():
+            there, often = self._places[entry]
+            found.update(place for place, yes in ((there, True), (often, frequent(n, len(words)))) if yes and place is not None)
         return sorted(found)
 
     def score(self, text: str | None) -> float:
         return float(1 / (1 + np.exp(-(self.weights[self.features(text)].sum() + self.bias))))
 
 
+def groups_of(votes: np.ndarray, classes: list[np.ndarray]) -> list[np.ndarray]:
+    """Voters that fire together beyond what the class explains, in groups: each joins the first group whose leader it follows.
+
+    ``classes`` holds, for each class, how much every text counts in it.
+    """
+    alike = np.zeros((votes.shape[1],) * 2)
+    for side in classes:
+        centred = (votes - (side @ votes) / side.sum()) * np.sqrt(side)[:, None]
+        cover = centred.T @ centred
+        deviation = np.sqrt(np.diag(cover)) + 1e-9
+        alike = np.maximum(alike, cover / np.outer(deviation, deviation))
+    groups: dict[int, list[int]] = {}
+    for voter in range(votes.shape[1]):
+        leader = next((leader for leader in groups if alike[voter, leader] > ALIKE), voter)
+        groups.setdefault(leader, []).append(voter)
+    return [np.array(group) for group in groups.values()]
+
+
 def label_model(votes: np.ndarray, label: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """The probability that each text is toxic, by the votes (0 or 1, a row for a text).
+    """The probability that each text is toxic, by the votes (0 or 1, a row for a text; surer voters first).
 
-    ``label`` is 1, 0, or -1 where there is none; ``weight`` how many texts a row stands for.
+    ``label`` is 1, 0, or -1 where there is none; ``weight`` how many texts a row stands for.  Given the class, groups of
+    voters are independent, and each has its own chance that none, one, ... or ``LEVELS`` and more of its voters
+    fire, so a group has one say however many voters it has, and silence counts.  The chances are estimated by
+    expectation maximisation; the prior is that of the labelled texts.
     """
     labelled = label >= 0
     if not labelled.any():
         return np.full(len(votes), 0.5)
-    # a voter that does not fire abstains; that nothing fires is a vote of its own
-    votes = np.concatenate([votes, ~votes.any(axis=1, keepdims=True)], axis=1).astype(float)
-    posterior = np.where(label == 1, LABEL_TRUST, 1 - LABEL_TRUST)
-    say = np.log(LABEL_TRUST / (1 - LABEL_TRUST)) * np.where(labelled, 2 * label - 1, 0)
-    mass = np.where(labelled, weight, 0.0)
-    unit = weight.mean()
+    votes = votes.astype(float)
+    given = np.where(label == 1, LABEL_TRUST, 1 - LABEL_TRUST)
+    known = np.where(labelled, weight, 0.0)
+    prior = float(np.clip((given * known).sum() / known.sum(), 1e-6, 1 - 1e-6))
+    unit = known[labelled].mean()
+    groups = groups_of(votes, [given * known, (1 - given) * known])
+    fired = [np.minimum(votes[:, group].sum(axis=1), LEVELS).astype(int) for group in groups]
+    posterior, mass = given, known
     for _ in range(ROUNDS):
-        fire, together = [], np.zeros((votes.shape[1],) * 2)
-        for side in (posterior * mass, (1 - posterior) * mass):
-            rate = (side @ votes + 0.1 * unit) / (side.sum() + 0.2 * unit)
-            centred = (votes - rate) * np.sqrt(side)[:, None]
-            cover = centred.T @ centred
-            deviation = np.sqrt(np.diag(cover)) + 1e-9
-            together = np.maximum(together, cover / np.outer(deviation, deviation))
-            fire.append(rate)
-        # voters that fire together beyond what the class explains share one say, one text at a time
-        odds = np.log(fire[0] / fire[1])
-        crowd = np.maximum(1, np.where(votes > 0, votes @ together.clip(0), 1))
-        prior = (posterior * mass).sum() / mass.sum()
-        logits = (votes * odds / crowd).sum(axis=1) + np.log(prior / (1 - prior))
-        # a label outweighs voters that only seem to know better
-        logits = np.where(labelled, np.clip(logits, -4, 4) + say, logits)
-        posterior = 1 / (1 + np.exp(-np.clip(logits, -30, 30)))
+        logits = np.full(len(votes), np.log(prior / (1 - prior)))
+        for level in fired:
+            sides = [np.bincount(level, side * mass, LEVELS + 1) + SMOOTH * unit for side in (posterior, 1 - posterior)]
+            logits += (np.log(sides[0] / sides[0].sum()) - np.log(sides[1] / sides[1].sum()))[level]
+        posterior = np.where(labelled, given, 1 / (1 + np.exp(-np.clip(logits, -30, 30))))
         mass = weight
     return posterior
 
@@ -139,16 +168,49 @@ def fit_classifier(votes: np.ndarray, posterior: np.ndarray, weight: np.ndarray)
 
 
 def _count_entries(batches):
+    """Texts of either class that hold an entry, summed over batches up to a bound."""
+    counts: dict[bool, Counter] = {True: Counter(), False: Counter()}
+
+    def flushed():
+        names = sorted(counts[True] | counts[False])
+        sides = [pa.array([counts[side][name] for name in names], pa.int64()) for side in (True, False)]
+        counts[True].clear()
+        counts[False].clear()
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *sides], ["entry", "toxic", "clean"])
+
     for batch in batches:
-        counts: dict[bool, Counter] = {True: Counter(), False: Counter()}
         for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            words = set(_WORD.findall((text or "").lower()))
-            counts[toxic].update({entry for word in words for entry in entries_of(word)})
-        names = sorted(counts[True] | counts[False])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), *(pa.array([counts[side][name] for name in names], pa.int64()) for side in (True, False))],
-            ["entry", "toxic", "clean"],
-        )
+            words = _WORD.findall((text or "").lower())
+            own: Counter = Counter()
+            for word, n in Counter(words).items():
+                for entry in entries_of(word):
+                    own[entry] += n
+            side = counts[toxic]
+            for entry, n in own.items():
+                side[entry] += 1
+                if frequent(n, len(words)):
+                    side[entry + "^"] += 1
+        if len(counts[True]) + len(counts[False]) > ENTRIES_KEPT:
+            yield flushed()
+    yield flushed()
+
+
+def choose_lexicon(candidates: list[tuple[str, float]], most: int = ENTRIES) -> list[str]:
+    """Of entries with their log-odds, the surest first: those that no shorter or longer one of the same words makes idle.
+
+    An entry is left out if the lexicon has a beginning of it, or words that begin with it, with much the same odds.
+    """
+    chosen: dict[str, float] = {}
+    for entry, odds in candidates:
+        often = "^" if entry.endswith("^") else ""
+        stem = entry.rstrip("^").rstrip("*")
+        kin = [stem[:n] + "*" + often for n in range(min(BEGINNINGS), len(stem) + 1)] + [stem + often]
+        longer = [other for other in chosen if entry.rstrip("^").endswith("*") and other.startswith(stem) and other.endswith("^") == bool(often)]
+        if all(other not in chosen or chosen[other] < odds - np.log(2) for other in kin) and all(chosen[other] < odds - np.log(2) for other in longer):
+            chosen[entry] = odds
+        if len(chosen) == most:
+            break
+    return list(chosen)
 
 
 def _collect_votes(model: Model):
@@ -163,7 +225,8 @@ def _collect_votes(model: Model):
 def train(documents: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", toxic: str = "toxic") -> Model:
     """A model from ``documents`` and the labels of some of them (1: toxic, 0: clean; others count as none).
 
-    Of several labels of an id the largest counts.  Without toxic and clean texts every score is the
+    Of several labels of an id the largest counts; documents of a repeated id all take its label.  The sample
+    of texts without a label holds none of those with one.  Without toxic and clean texts every score is the
     share of toxic ones, 0 if there are none.
     """
     bound_batches(documents.sparkSession)
@@ -178,17 +241,26 @@ def train(documents: DataFrame, labels: DataFrame, id_column: str = "doc_id", te
     known = texts.join(F.broadcast(picked), "id")
     every = known.select("label", F.when(F.col("label") == 1, 1 / parts[1]).otherwise(1 / parts[0]).alias("weight"), "text")
     if counts.get(1):
-        every = every.unionAll(texts.where(wide < parts[-1]).select(F.lit(-1).alias("label"), F.lit(1 / parts[-1]).alias("weight"), "text"))
+        some = texts.where(wide < parts[-1])
+        # bounded by UNLABELLED rows: those of the sample that do have a label
+        known_too = labels.join(F.broadcast(some.select("id")), "id", "left_semi").select("id")
+        some = some.join(F.broadcast(known_too), "id", "left_anti")
+        every = every.unionAll(some.select(F.lit(-1).alias("label"), F.lit(1 / parts[-1]).alias("weight"), "text"))
     lexicon = []
     if counts.get(1) and counts.get(0):
         n = {1: counts[1], 0: counts[0]}
-        # counts are of all labelled rows, the sample is for the label model and the classifier only
-        entries = texts.join(labels, "id").select(F.col("label") == 1, "text").mapInArrow(_count_entries, "entry string, toxic long, clean long")
-        entries = entries.groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where(F.col("toxic") >= SUPPORT)
+        # counts are of all labelled rows, the sample is for the label model and the classifier only; the labels grow
+        # with the texts, so they are merged by a shuffle at any size
+        labelled = texts.join(labels.hint("merge"), "id")
+        entries = labelled.select(F.col("label") == 1, "text").mapInArrow(_count_entries, "entry string, toxic long, clean long")
+        least = max(SUPPORT, SHARE * n[1])
+        entries = entries.groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where(F.col("toxic") >= least)
         odds = F.log((F.col("toxic") + 0.5) / (n[1] + 1)) - F.log((F.col("clean") + 0.5) / (n[0] + 1))
+        doubt = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
         # how much surer the entry makes: log-odds times the root of its support
-        entries = entries.select("entry", (odds * F.sqrt("toxic")).alias("gain"), odds.alias("odds")).where(F.col("odds") > F.log(F.lit(LIFT)))
-        lexicon = [r["entry"] for r in entries.orderBy(F.col("gain").desc(), "entry").limit(ENTRIES).collect()]
+        entries = entries.select("entry", (odds * F.sqrt("toxic")).alias("gain"), odds.alias("odds")).where(odds - SPARE * doubt > F.log(F.lit(LIFT)))
+        found = entries.orderBy(F.col("gain").desc(), F.length("entry"), "entry").limit(CANDIDATES).collect()
+        lexicon = choose_lexicon([(r["entry"], r["odds"]) for r in found])
     model = Model(lexicon, np.zeros(len(PATTERNS) + len(lexicon)), -30.0)
     rows = every.mapInArrow(_collect_votes(model), "label int, weight double, votes binary").collect()
     if not rows or not counts.get(1) or not counts.get(0):
@@ -201,6 +273,8 @@ def train(documents: DataFrame, labels: DataFrame, id_column: str = "doc_id", te
         line[np.frombuffer(row["votes"], np.uint16)] = 1
     weight = np.array([row["weight"] for row in rows])
     label = np.array([row["label"] for row in rows])
+    # texts without a label weigh no more than those with one, or guesses would outvote what is known
+    weight[label < 0] *= min(1.0, weight[label >= 0].sum() / max(weight[label < 0].sum(), 1e-12))
     posterior = label_model(votes, label, weight)
     model.weights, model.bias = fit_classifier(votes, posterior, weight)
     return model

@@ -51,3 +51,77 @@ def test_lexicon_counts_all_labelled_rows(spark, monkeypatch):
     labels = spark.createDataFrame([(i, int(t)) for i, _, t in rows], "doc_id long, toxic int")
     lexicon = toxicity.train(docs, labels).lexicon
     assert set(toxicity.entries_of("zorgbuk")) & set(lexicon) and set(toxicity.entries_of("vile")) & set(lexicon)
+
+
+def plain_label_model(votes, label, weight):
+    """One text and one group at a time."""
+    n = len(votes)
+    given = [toxicity.LABEL_TRUST if x == 1 else 1 - toxicity.LABEL_TRUST for x in label]
+    known = [w if x >= 0 else 0.0 for x, w in zip(label, weight)]
+    prior = sum(g * k for g, k in zip(given, known)) / sum(known)
+    unit = np.mean([w for x, w in zip(label, weight) if x >= 0])
+
+    def correlation(i, j, side):
+        total = sum(side)
+        mean = [sum(s * votes[t][v] for t, s in enumerate(side)) / total for v in (i, j)]
+        cover = [sum(s * (votes[t][a] - mean[x]) * (votes[t][b] - mean[y]) for t, s in enumerate(side)) for a, b, x, y in ((i, j, 0, 1), (i, i, 0, 0), (j, j, 1, 1))]
+        return cover[0] / ((cover[1] ** 0.5 + 1e-9) * (cover[2] ** 0.5 + 1e-9))
+
+    sides = [[g * k for g, k in zip(given, known)], [(1 - g) * k for g, k in zip(given, known)]]
+    groups = []
+    for v in range(len(votes[0])):
+        home = next((g for g in groups if any(correlation(v, g[0], side) > toxicity.ALIKE for side in sides)), None)
+        home.append(v) if home else groups.append([v])
+    posterior, mass = given, known
+    for _ in range(toxicity.ROUNDS):
+        odds = [np.log(prior / (1 - prior))] * n
+        for group in groups:
+            level = [min(toxicity.LEVELS, int(sum(votes[t][v] for v in group))) for t in range(n)]
+            rates = []
+            for toxic in (True, False):
+                counts = [toxicity.SMOOTH * unit] * (toxicity.LEVELS + 1)
+                for t in range(n):
+                    counts[level[t]] += mass[t] * (posterior[t] if toxic else 1 - posterior[t])
+                rates.append([c / sum(counts) for c in counts])
+            odds = [o + np.log(rates[0][x] / rates[1][x]) for o, x in zip(odds, level)]
+        posterior = [given[t] if label[t] >= 0 else 1 / (1 + np.exp(-odds[t])) for t in range(n)]
+        mass = weight
+    return posterior
+
+
+def test_label_model_against_plain_version():
+    rng = np.random.default_rng(5)
+    truth = rng.random(120) < 0.4
+    votes = (rng.random((120, 6)) < np.where(truth[:, None], 0.5, 0.15)).astype(float)
+    votes[:, 4] = votes[:, 3]
+    label = np.where(rng.random(120) < 0.5, truth.astype(int), -1)
+    weight = rng.random(120) + 0.5
+    found = toxicity.label_model(votes, label, weight)
+    assert np.allclose(found, plain_label_model(votes.tolist(), label.tolist(), weight.tolist()), atol=1e-9)
+
+
+def test_entries_against_plain_counts(spark):
+    texts = [("Idiot idiot go away, idiots!", 1), ("a calm idiotic day", 0), ("word " * 400 + "idiot", 1), (None, 0), ("", 1)]
+    counts = {}
+    for text, toxic in texts:
+        words = [w for w in toxicity._WORD.findall((text or "").lower())]
+        own = {}
+        for word in words:
+            for entry in toxicity.entries_of(word):
+                own[entry] = own.get(entry, 0) + 1
+        for entry, n in own.items():
+            for name in [entry] + ([entry + "^"] if n >= 2 and 150 * n >= len(words) else []):
+                counts.setdefault(name, [0, 0])[1 - toxic] += 1
+    frame = spark.createDataFrame([(bool(toxic), text) for text, toxic in texts], "label boolean, text string")
+    rows = frame.mapInArrow(toxicity._count_entries, "entry string, toxic long, clean long").groupBy("entry").sum("toxic", "clean").collect()
+    assert {r[0]: [r[1], r[2]] for r in rows} == counts
+    assert counts["idio*^"] == [1, 0] and counts["idio*"] == [2, 1]
+
+
+def test_features_and_lexicon():
+    model = toxicity.Model(["idio*", "idio*^", "scum"], np.zeros(6), 0.0)
+    first = len(toxicity.PATTERNS)
+    assert model.features("Idiots and an idiot") == [first, first + 1]
+    assert model.features("an idiot " + "x " * 400) == [first] and model.features("scum") == [first + 2] and model.features(None) == []
+    chosen = toxicity.choose_lexicon([("idiot", 7.0), ("idio*", 6.9), ("idiots", 7.0), ("scum", 6.0), ("idio*^", 7.0), ("idioti*", 8.5)])
+    assert chosen == ["idiot", "idiots", "scum", "idio*^", "idioti*"]
