@@ -17,7 +17,7 @@ import heapq
 import unicodedata
 from collections.abc import Iterable
 from functools import lru_cache
-from itertools import chain
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,7 @@ from freight.llm.common import bound_batches
 #: A batch of texts is scanned in pieces of about so many code points; a longer text is scanned alone.
 BATCH_POINTS = 1 << 20
 #: Slices that the cache keeps, and the longest slice that it keeps, in code points.
-CACHE_SLICES, CACHE_LENGTH = 1 << 18, 64
+CACHE_SLICES, CACHE_LENGTH = 1 << 19, 64
 _BLOCK = 64
 
 ENCODED = "struct<ids:array<int>,offsets:array<int>>"
@@ -235,51 +235,61 @@ def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
 
 
 class Slices:
-    """Ids by slice of text.  The cache, when full, becomes the old generation, from which used slices come back."""
+    """Ids by slice of text.  Known slices are numbers into arrays of ids; when there are too many, all are forgotten."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks, self.pairs = ranks, _Pairs(ranks)
-        singles = np.array([ranks[bytes([value])] for value in range(256)], np.int32)
-        self.singles = singles
-        self.new: dict[str, tuple[int, ...]] = {}
-        self.old: dict[str, tuple[int, ...]] = {}
-
-    def __call__(self, texts: list[str]) -> list[tuple[int, ...]]:
-        found = list(map(self.new.get, texts))
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        unknown = []
-        for i in missing:
-            found[i] = self.old.get(texts[i])
-            if found[i] is None:
-                unknown.append(i)
-        pieces = [texts[i].encode() for i in unknown]
-        for i, ids in zip(unknown, self.merged(pieces), strict=True):
-            found[i] = ids
-        for i in missing:
-            if len(texts[i]) <= CACHE_LENGTH:
-                self.new[texts[i]] = found[i]
-        if len(self.new) >= CACHE_SLICES:
-            self.old, self.new = self.new, {}
-        return found
-
-    def merged(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
-        """Ids of slices, without the cache."""
-        out: list = [None] * len(pieces)
-        by_width: dict[int, list[int]] = {}
-        for i, piece in enumerate(pieces):
-            if (rank := self.ranks.get(piece)) is not None:
-                out[i] = (rank,)
-            elif len(piece) > WIDTHS[-1]:
-                out[i] = _merge_long(piece, self.ranks)
-            else:
-                by_width.setdefault(next(w for w in WIDTHS if len(piece) <= w), []).append(i)
-        for width, rows in by_width.items():
-            table = np.frombuffer(b"".join(pieces[i].ljust(width, b"\0") for i in rows), np.uint8).reshape(-1, width)
-            sizes = np.array([len(pieces[i]) for i in rows])
-            ids, sizes = _merge_table(self.singles[table], sizes, self.pairs)
-            for i, line, n in zip(rows, ids.tolist(), sizes.tolist(), strict=True):
-                out[i] = tuple(line[:n])
-        return out
+        self.singles = np.array([ranks[bytes([value])] for value in range(256)], np.int32)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.flat, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64)
+
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all slices, one behind the other, and how many each has."""
+        if len(self.known) >= CACHE_SLICES:
+            self._forget()
+        numbers = np.fromiter(map(self.known.get, texts, repeat(-1)), np.int64, len(texts))
+        unknown = np.flatnonzero(numbers < 0)
+        flat, sizes = self.flat, self.sizes
+        if len(unknown):
+            new = [texts[i] for i in unknown.tolist()]
+            lengths = np.fromiter(map(len, new), np.int64, len(new))
+            # short ones first: only they are kept
+            order = np.argsort(lengths > CACHE_LENGTH, kind="stable")
+            new, kept = [new[i] for i in order.tolist()], int((lengths <= CACHE_LENGTH).sum())
+            more, counts = self.merged([text.encode() for text in new])
+            flat, sizes = np.concatenate([flat, more]), np.concatenate([sizes, counts])
+            numbers[unknown[order]] = len(self.sizes) + np.arange(len(new))
+            self.known.update(zip(new[:kept], range(len(self.sizes), len(self.sizes) + kept)))
+            self.sizes = sizes[: len(self.sizes) + kept]
+            self.flat = flat[: int(self.sizes.sum())]
+        return flat[spread((np.cumsum(sizes) - sizes)[numbers], sizes[numbers])], sizes[numbers]
+
+    def merged(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same without the cache."""
+        whole = np.fromiter(map(self.ranks.get, pieces, repeat(-1)), np.int64, len(pieces))
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        width = np.searchsorted(WIDTHS, lengths)
+        sizes, parts = np.ones(len(pieces), np.int64), []
+        done = np.flatnonzero(whole >= 0)
+        parts.append((done, whole[done].astype(np.int32)))
+        for i, columns in enumerate(WIDTHS):
+            rows = np.flatnonzero((width == i) & (whole < 0))
+            if not len(rows):
+                continue
+            table = np.frombuffer(b"".join(pieces[j].ljust(columns, b"\0") for j in rows.tolist()), np.uint8).reshape(-1, columns)
+            ids, sizes[rows] = _merge_table(self.singles[table], lengths[rows], self.pairs)
+            parts.append((rows, ids[np.arange(columns) < sizes[rows, None]]))
+        for j in np.flatnonzero((width == len(WIDTHS)) & (whole < 0)).tolist():
+            ids = np.array(_merge_long(pieces[j], self.ranks), np.int32)
+            sizes[j] = len(ids)
+            parts.append((np.array([j]), ids))
+        flat, starts = np.zeros(int(sizes.sum()), np.int32), np.cumsum(sizes) - sizes
+        for rows, ids in parts:
+            flat[spread(starts[rows], sizes[rows])] = ids
+        return flat, sizes
 
 
 _BASE = 0x9E3779B97F4A7C15
@@ -330,6 +340,7 @@ class Vocabulary:
         self.lengths = np.array([len(word) for word in words], np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.bytes = np.frombuffer(b"".join(words), np.uint8)
+        self.words = np.array(words, object)
         self.slices = Slices(self.ranks)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -342,9 +353,7 @@ class Vocabulary:
             return np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
         widths = np.diff(starts, append=len(points))
         like, place = _distinct(points, starts, widths)
-        merged = self.slices([whole[a : a + n] for a, n in zip(starts[like].tolist(), widths[like].tolist(), strict=True)])
-        sizes = np.fromiter(map(len, merged), np.int64, len(merged))
-        flat = np.fromiter(chain.from_iterable(merged), np.int32, int(sizes.sum()))
+        flat, sizes = self.slices([whole[a : a + n] for a, n in zip(starts[like].tolist(), widths[like].tolist(), strict=True)])
         tokens = sizes[place]
         ids = flat[spread((np.cumsum(sizes) - sizes)[place], tokens)]
         firsts = np.searchsorted(starts, np.cumsum(lengths) - lengths)
@@ -357,6 +366,9 @@ class Vocabulary:
     def decode(self, ids: np.ndarray, offsets: np.ndarray, size: int) -> bytes:
         """The bytes of one text: each token's bytes are placed at its offset."""
         lengths = self.lengths[ids]
+        ends = np.cumsum(lengths)
+        if len(ids) and ends[-1] == size and (offsets == ends - lengths).all():
+            return b"".join(self.words[ids].tolist())  # tokens that follow each other without a gap
         out = np.zeros(size, np.uint8)
         out[spread(offsets, lengths)] = self.bytes[spread(self.starts[ids], lengths)]
         return out.tobytes()
@@ -408,13 +420,14 @@ def decode(encoded: Column, path: str) -> Column:
     @F.arrow_udf("binary")
     def decoded(column: pa.Array) -> pa.Array:
         words, out = vocabulary(path), []
-        for row in range(len(column)):
-            value = column[row]
-            if not value.is_valid:
-                out.append(None)
-                continue
-            ids, offsets = (value[name].values.to_numpy() for name in ("ids", "offsets"))
-            out.append(words.decode(ids, offsets, int(offsets[-1] + words.lengths[ids[-1]]) if len(ids) else 0))
+        lists = [column.field(name) for name in ("ids", "offsets")]
+        ids, offsets = (part.values.to_numpy() for part in lists)
+        ends = lists[0].offsets.to_numpy().tolist()
+        starts_too = lists[1].offsets.to_numpy().tolist()
+        for row, valid in enumerate(column.is_valid().to_pylist()):
+            own, at = ids[ends[row] : ends[row + 1]], offsets[starts_too[row] : starts_too[row + 1]]
+            size = int(at[-1] + words.lengths[own[-1]]) if len(own) else 0
+            out.append(words.decode(own, at, size) if valid else None)
         return pa.array(out, pa.binary())
 
     return decoded(encoded)
