@@ -23,6 +23,7 @@ from freight.operators.report import (
     month_before_latest,
     row_counts,
 )
+from freight.operators.skew import SALT, hot_keys, join_salted, repeat_hot, spread
 from freight.operators.staging import (
     parse_by_name_rule,
     parse_datetimes,
@@ -33,6 +34,7 @@ from freight.operators.star import build_dimensions, build_fact
 
 __all__ = [
     "KeyNotUnique",
+    "SALT",
     "build_dimensions",
     "build_fact",
     "conforms",
@@ -42,6 +44,8 @@ __all__ = [
     "enrich_with_lanes",
     "fan_out",
     "flatten_star",
+    "hot_keys",
+    "join_salted",
     "key_profile",
     "key_tests",
     "last_period",
@@ -53,10 +57,12 @@ __all__ = [
     "parse_failure_counts",
     "parse_failures",
     "preview",
+    "repeat_hot",
     "require_unique",
     "row_counts",
     "split_lane",
     "split_text",
+    "spread",
     "stamp_load_date",
     "unique",
 ]

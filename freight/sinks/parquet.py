@@ -39,13 +39,14 @@ def save_table(
     name: str,
     path: str | None = None,
     buckets: int | None = None,
-    key: str = KEY,
+    key: str | list[str] = KEY,
     sort_within: list[str] | None = None,
 ) -> DataFrame:
     """Full refresh of the catalog table ``name``, at ``path`` if given.
 
     With ``buckets``, rows are placed by ``key`` so that tables of equal bucket count
-    join on it without a shuffle.  The repartition uses the same hash as the buckets,
+    join on it without a shuffle.  Several columns may make up the key, such as a key and its salt, which spreads a hot
+    key over many buckets (see ``skew``); the first one counts for rows without a key.  The repartition uses the same hash as the buckets,
     so each task fills one bucket file; rows without a key stay in their own tasks rather
     than meet in one.  ``sort_within`` orders the rows of each file, which lets a later
     filter on those columns skip row groups.
@@ -53,9 +54,10 @@ def save_table(
     spark = df.sparkSession
     ensure_database(spark, name, path.rsplit("/", 1)[0] if path else None)
     if buckets:
-        keyed = df.where(F.col(key).isNotNull()).repartition(buckets, key)
-        rows = keyed.unionAll(df.where(F.col(key).isNull()))
-        writer = rows.write.bucketBy(buckets, key)
+        keys = [key] if isinstance(key, str) else list(key)
+        keyed = df.where(F.col(keys[0]).isNotNull()).repartition(buckets, *keys)
+        rows = keyed.unionAll(df.where(F.col(keys[0]).isNull()))
+        writer = rows.write.bucketBy(buckets, *keys)
         if sort_within:
             writer = writer.sortBy(*sort_within)
     else:

@@ -64,11 +64,11 @@ def _dimension(name: str, source: str = "loads") -> str:
     return f"select {', '.join(columns)} from {source}"
 
 
-def _fact(source: str = "loads") -> str:
-    """Five left joins of the source to its slices."""
+def _fact(source: str = "loads", slices: str | None = None) -> str:
+    """Five left joins of the source to its slices, or to those of another table."""
     columns = ", ".join(f"{d}.{c}" for d, names in FACT_SOURCES.items() for c in names)
     joins = " ".join(
-        f"left join ({_dimension(d, source)}) {d} on source.load_id = {d}.load_id" for d in FACT_SOURCES
+        f"left join ({_dimension(d, slices or source)}) {d} on source.load_id = {d}.load_id" for d in FACT_SOURCES
     )
     return f"select source.load_id, {columns} from {source} as source {joins}"
 
@@ -81,6 +81,9 @@ _FLAT = f"{_LOADS}, flat as (select fact.load_id, {_FLAT_COLUMNS} from ({_fact()
 
 # The day one month before the latest delivery.
 _MONTH_EARLIER = "(select cast(max(delivery_date) as date) - interval 1 month from flat)"
+_HOT = f"""{_LOADS}, hot as (select * replace (case when load_was_cancelled then -1 else load_id end as load_id) from loads),
+single as (select * replace (case when load_was_cancelled then -1 else load_id end as load_id) from loads
+  where not load_was_cancelled or load_id = (select min(load_id) from loads where load_was_cancelled))"""
 _UNKEYED = (
     f"{_LOADS}, unkeyed as (select * replace "
     "(case when load_was_cancelled then null else load_id end as load_id) from loads)"
@@ -235,6 +238,8 @@ ORACLES: dict[str, str] = {
         f"{_UNKEYED} select *, cast(count(*) as decimal(38,0)) as copies from ({_fact('unkeyed')}) group by all"
     ),
     "fact_from_tables": f"{_LOADS} {_fact()}",
+    "fact_hot_key": f"{_HOT} {_fact('hot', 'single')}",
+    "fact_hot_key_bucketed": f"{_HOT} {_fact('hot', 'single')}",
     "star_tables": _STAR_COUNTS.format(extra=""),
     "star_flat": f"{_FLAT} select * from flat",
     "star_flat_bucketed": f"{_FLAT} select * from flat",

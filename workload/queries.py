@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from freight.contract import DATE_COLUMNS, KEY, RAW, REPORT_COLUMNS, STAGED
 from freight.operators import (
+    SALT,
     build_dimensions,
     build_fact,
     conforms,
@@ -34,7 +35,7 @@ from freight.operators import (
     split_text,
     unique,
 )
-from freight.plans import hand_over_latest_drop, ingest, last_month_report, stage
+from freight.plans import hand_over_latest_drop, ingest, last_month_report, materialise_salted_fact, stage
 from freight.sinks import export_csv, export_csv_file, write_partitioned
 from freight.sources import (
     inventory,
@@ -481,6 +482,31 @@ def fact_counted_null_keys(spark, sf):
     return build_fact(_unkeyed(spark, sf), mode="counted")
 
 
+def _hot(spark, sf):
+    """Loads of which the cancelled ones all have the key -1, and dimensions with one row for each key."""
+    rows = staged(spark, sf)
+    cancelled = F.col("load_was_cancelled")
+    one = rows.where(cancelled).agg(F.min(KEY)).scalar()
+    single = rows.where(~cancelled | (F.col(KEY) == one))
+    key = F.when(cancelled, F.lit(-1).cast("long")).otherwise(F.col(KEY))
+    return rows.withColumn(KEY, key), build_dimensions(single.withColumn(KEY, key))
+
+
+@query
+def fact_hot_key(spark, sf):
+    """One key holds a large part of all rows; its rows are spread over many tasks of every join."""
+    rows, dimensions = _hot(spark, sf)
+    return build_fact(rows, dimensions, mode="join", hot_parts=64)
+
+
+@query
+def fact_hot_key_bucketed(spark, sf):
+    """The same from tables bucketed by key and salt."""
+    rows, dimensions = _hot(spark, sf)
+    folder = shared_folder(spark, "salted")
+    return materialise_salted_fact(rows, dimensions, star_database(folder), folder, buckets=16).drop(SALT)
+
+
 @query
 def star_tables(spark, sf):
     """The written star, counted table by table."""
