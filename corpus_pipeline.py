@@ -55,14 +55,15 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with their tokens, ids and the byte at which each token starts, and their place in the mix.
 
     The order of stored rows is lost when several files are read again, so ``mix_slot`` and ``mix_row`` carry it.
-    They depend on the rows alone, so they are found again here as ``mix_sources`` had them; columns called so
-    are replaced.
+    They depend on the rows alone, so they are found again here as ``mix_sources`` had them, which may add no column.
+    Columns of ``docs`` called like one of the four new ones are replaced, all others are kept.
     """
-    mixed = mixing.mix(docs)
-    tokens = byte_bpe.encode_documents(mixed, RANKS, into="tokens")
-    return tokens.select(
-        *mixed.columns[:-2], F.col("tokens.ids").alias("token_ids"), F.col("tokens.offsets").alias("token_offsets"), "mix_slot", "mix_row"
-    )
+    new = ("token_ids", "token_offsets", "mix_slot", "mix_row")
+    kept = [c for c in docs.columns if c.lower() not in new]
+    mixed = mixing.mix(docs.select(*kept))
+    into = free_name(mixed.columns, "tokens")
+    rows = byte_bpe.encode_documents(mixed, RANKS, into=into)
+    return rows.select(*kept, F.col(into)["ids"].alias("token_ids"), F.col(into)["offsets"].alias("token_offsets"), "mix_slot", "mix_row")
 
 
 STAGES = [

@@ -45,12 +45,18 @@ def test_columns_and_empty(spark):
         [(None, None, None, None, 0), (None, "the cat and the dog", "en", None, 3), (7, "the cat and the dog", "en", "a", 3), (7, "the cat and the dog", "en", "a", 3), (8, "", "en", "b", 0)],
         documents.schema,
     )
-    docs = odd.selectExpr("*", "1 as language", "2 as mix_slot", "3 as fp")
+    docs = odd.selectExpr("*", "1 as language", "2 as mix_slot", "3 as fp", "4 as tokens", "5 as Token_Ids", "6 as token_offsets")
     wanted = docs.columns
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, SF)
         assert docs.columns == wanted
     assert [(r.doc_id, r.text) for r in docs.collect()] == [(7, "the cat and the dog")]
+    last = corpus_pipeline.encode(spark, docs, SF)
+    assert last.columns == [*documents.columns, "language", "fp", "tokens", "token_ids", "token_offsets", "mix_slot", "mix_row"]
+    row = last.first()
+    ids, offsets, _ = byte_bpe.vocabulary(corpus_pipeline.RANKS).encode([row.text])
+    assert row.tokens == 4 and row.token_ids == ids.tolist() and row.token_offsets == offsets.tolist()
+    assert corpus_pipeline.encode(spark, odd, SF).count() == 5 and corpus_pipeline.encode(spark, empty, SF).count() == 0
     assert mixing.mix(odd).count() == 5
 
 
