@@ -1,5 +1,6 @@
 """Relational building blocks; every one takes and returns frames."""
 
+from freight.operators.key_index import key_bitmaps, overlaps, read_key_index, repeated_since, update_key_index
 from freight.operators.lanes import enrich_with_lanes, split_lane, split_text
 from freight.operators.quality import (
     KeyNotUnique,
@@ -46,18 +47,22 @@ __all__ = [
     "flatten_star",
     "hot_keys",
     "join_salted",
+    "key_bitmaps",
     "key_profile",
     "key_tests",
     "last_period",
     "malformed_lanes",
     "month_before_latest",
     "not_null",
+    "overlaps",
     "parse_by_name_rule",
     "parse_datetimes",
     "parse_failure_counts",
     "parse_failures",
     "preview",
+    "read_key_index",
     "repeat_hot",
+    "repeated_since",
     "require_unique",
     "row_counts",
     "split_lane",
@@ -65,4 +70,5 @@ __all__ = [
     "spread",
     "stamp_load_date",
     "unique",
+    "update_key_index",
 ]

@@ -167,6 +167,10 @@ ORACLES: dict[str, str] = {
         "select o_orderkey, o_orderkey % 1000 + 0.5::double as small, "
         "cast(o_orderkey % 1000 + 0.5 as decimal(38,1)) as large from orders"
     ),
+    "dq_unique_by_date": (
+        f"{_LOADS} select load_id, count(*) as n_records from (select load_id from loads where load_id % 2 = 0 "
+        "union all select load_id from loads where load_id % 2 = 1 or load_was_cancelled) group by load_id having count(*) > 1"
+    ),
     "drift_decimal": (
         "with p as (select o_orderkey as k, cast(o_totalprice as decimal(12,2)) as price from orders) "
         "select k as o_orderkey, cast(cast(price as decimal(24,5)) as varchar) as price, 'decimal(24,5)' as price_type from p union all "

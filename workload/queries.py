@@ -30,10 +30,13 @@ from freight.operators import (
     parse_failure_counts,
     parse_failures,
     preview,
+    read_key_index,
+    repeated_since,
     row_counts,
     split_lane,
     split_text,
     unique,
+    update_key_index,
 )
 from freight.plans import hand_over_latest_drop, ingest, last_month_report, materialise_salted_fact, stage
 from freight.sinks import export_csv, export_csv_file, write_partitioned
@@ -654,6 +657,20 @@ def dq_unique_key(spark, sf):
     return unique(rows.unionAll(rows.where("load_was_cancelled")))
 
 
+@query
+def dq_unique_by_date(spark, sf):
+    """Every load on one of two load dates, the cancelled ones of even keys on both; the second date is checked by bitmaps."""
+    folder, index = shared_folder(spark, "lake"), shared_folder(spark, "keys")
+    rows = staged(spark, sf).select(KEY, "loading_date", "load_was_cancelled")
+    even = F.col(KEY) % 2 == 0
+    for day, some in ((LOAD_DATE, even), (NEXT_LOAD_DATE, ~even | F.col("load_was_cancelled"))):
+        write_partitioned(rows.where(some).withColumn("loading_date", F.lit(day)), folder)
+        arrived = spark.read.schema(rows.schema).parquet(folder).where(F.col("loading_date") == day)
+        update_key_index(arrived, index)
+    loads_ = spark.read.schema(rows.schema).parquet(folder)
+    return repeated_since(loads_, read_key_index(spark, index), NEXT_LOAD_DATE)
+
+
 @query
 def dq_key_tests(spark, sf):
     return key_tests(table(spark, sf, "lineitem").withColumnRenamed("l_orderkey", KEY))
