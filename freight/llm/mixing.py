@@ -6,25 +6,34 @@ released block with the earliest deadline.  So after any number of slots every s
 less than one block off.  When a source runs out, the weights of the others are taken of their own
 total and times start anew: a phase.
 
-A schedule repeats after Q slots, so a phase is a table of Q rows and arithmetic.  The tables depend on
-the weights and on one count for each source only; the documents are placed by joins with them.  The
-place of a document within its source comes from counts of hash buckets, never from one sorted source.
+A schedule repeats after Q slots, so a phase is a table of at most Q rows and arithmetic.  The tables depend
+on the weights and on one count for each source only, which is all that reaches the driver.  Up to
+``ROWS_AT_ONCE`` rows they are broadcast and joined with the documents.  Larger ones (hundreds of sources) are
+stored piece by piece, spread in tasks to one row for each block, and joined by source and block; the
+result is the same.  The place of a document within its source comes from counts of hash buckets, never
+from one sorted source.
 """
 
 from __future__ import annotations
 
 import heapq
 import json
+from bisect import bisect_left
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from freight.workspace import shared_folder
+
 #: Documents in a block; documents in a hash bucket, about; buckets in a group whose counts are summed at once.
 BLOCK_ROWS, BUCKET_ROWS, BUCKET_GROUP = 32, 2048, 1024
 #: The total of weights that flattened_weights gives, about, and the exponent by which it flattens.
 RESOLUTION, FLATTEN = 1000, 0.5
-#: More sources than this are an error: the tables of the schedule are broadcast and must stay small.
-MOST_SOURCES = 1000
+#: Rows of the schedule that go out from the driver, or are broadcast, at once; repeats of a slot in one array.
+ROWS_AT_ONCE, REPEATS_AT_ONCE = 100_000, 10_000
+SPAN = "source string, phase int, first long, past long, weight long, total long, base long"
+SLOT = "phase int, source string, nth long, slot long"
 
 
 def flattened_weights(counts: dict[str, int]) -> dict[str, int]:
@@ -33,49 +42,67 @@ def flattened_weights(counts: dict[str, int]) -> dict[str, int]:
     return {source: max(1, int(RESOLUTION * n**FLATTEN / total + 0.5)) for source, n in counts.items()}
 
 
-def period(weights: list[int]) -> list[list[int]]:
-    """The slots of each source's blocks within one period, by earliest deadline first."""
+def earliest_deadlines(weights: list[int]) -> Iterator[int]:
+    """The source of each slot of one period, by earliest deadline first."""
     total = sum(weights)
-    slots: list[list[int]] = [[] for _ in weights]
-    release = sorted((j * total // w, -(-(j + 1) * total // w), i) for i, w in enumerate(weights) for j in range(w))
+    taken = [0] * len(weights)
+    waiting = [(0, i) for i in range(len(weights))]
     ready: list[tuple[int, int]] = []
-    at = 0
     for slot in range(total):
-        while at < total and release[at][0] <= slot:
-            heapq.heappush(ready, release[at][1:])
-            at += 1
+        while waiting and waiting[0][0] <= slot:
+            _, i = heapq.heappop(waiting)
+            heapq.heappush(ready, (-(-(taken[i] + 1) * total // weights[i]), i))
         deadline, i = heapq.heappop(ready)
         assert slot < deadline  # earliest deadline first meets all deadlines of total weight one
+        taken[i] += 1
+        if taken[i] < weights[i]:
+            heapq.heappush(waiting, (taken[i] * total // weights[i], i))
+        yield i
+
+
+def period(weights: list[int]) -> list[list[int]]:
+    """The slots of each source's blocks within one period."""
+    slots: list[list[int]] = [[] for _ in weights]
+    for slot, i in enumerate(earliest_deadlines(weights)):
         slots[i].append(slot)
     return slots
 
 
-def phases(blocks: dict[str, int], weights: dict[str, int]) -> tuple[list[dict], list[dict]]:
-    """Of each phase and source the blocks it takes, and of each phase the slots of one period."""
+def phases(blocks: dict[str, int], weights: dict[str, int]) -> Iterator[tuple[list[dict], list[dict]]]:
+    """Of each phase the blocks that its sources take, and the slots of one period.
+
+    No slot beyond the phase's end is worked out, so all phases together have at most a slot for each block.
+    """
     left = {source: n for source, n in sorted(blocks.items()) if n}
     taken = dict.fromkeys(left, 0)
-    spans, slots, base, phase = [], [], 0, 0
+    base, phase = 0, 0
     while left:
         sources = list(left)
         total = sum(weights[source] for source in sources)
-        table = dict(zip(sources, period([weights[source] for source in sources]), strict=True))
-
-        def place(source, block):
-            times, rest = divmod(block, weights[source])
-            return times * total + table[source][rest]
-
-        end = 1 + min(place(source, n - 1) for source, n in left.items())
-        for source in sources:
-            times, rest = divmod(end, total)
-            n = times * weights[source] + sum(slot < rest for slot in table[source])
+        table: dict[str, list[int]] = {source: [] for source in sources}
+        end = None
+        for slot, i in enumerate(earliest_deadlines([weights[source] for source in sources])):
+            own = table[sources[i]]
+            own.append(slot)
+            if len(own) == left[sources[i]]:
+                end = slot + 1
+                break
+        if end is None:
+            # nobody runs out within a period: the schedule repeats until the first one does
+            ends = (divmod(n - 1, weights[source]) + (table[source],) for source, n in left.items())
+            end = 1 + min(times * total + own[rest] for times, rest, own in ends)
+        times, rest = divmod(end, total)
+        spans, slots = [], []
+        for source, own in table.items():
+            n = times * weights[source] + bisect_left(own, rest) if times else len(own)
             if n:
                 spans.append({"source": source, "phase": phase, "first": taken[source], "past": taken[source] + n, "weight": weights[source], "total": total, "base": base})
-                slots += [{"phase": phase, "source": source, "nth": j, "slot": slot} for j, slot in enumerate(table[source])]
+                slots += [{"phase": phase, "source": source, "nth": j, "slot": slot} for j, slot in enumerate(own)]
             taken[source] += n
             left[source] -= n
+        yield spans, slots
         left = {source: n for source, n in left.items() if n}
         base, phase = base + end, phase + 1
-    return spans, slots
 
 
 def _rows(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
@@ -84,6 +111,38 @@ def _rows(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
     return spark.range(1).select(F.inline(F.from_json(text, f"array<struct<{schema}>>")))
 
 
+def _schedule(spark: SparkSession, blocks: dict[str, int], weights: dict[str, int]) -> tuple[DataFrame, DataFrame, bool]:
+    """The tables of all phases, and whether they are small enough to be broadcast."""
+    folder, spans, slots, stored = None, [], [], 0
+
+    def store():
+        # each piece has its own folder, so a piece written anew after a failure replaces only itself
+        for name, rows, schema in (("spans", spans, SPAN), ("slots", slots, SLOT)):
+            _rows(spark, rows, schema).write.mode("overwrite").parquet(f"{folder}/{name}/piece={stored}")
+
+    for more_spans, more_slots in phases(blocks, weights):
+        spans += more_spans
+        slots += more_slots
+        if len(slots) > ROWS_AT_ONCE:
+            folder = folder or shared_folder(spark, "mix_schedule")
+            store()
+            spans, slots, stored = [], [], stored + 1
+    if folder is None:
+        return _rows(spark, spans, SPAN), _rows(spark, slots, SLOT), True
+    if slots:
+        store()
+    return spark.read.schema(SPAN).parquet(f"{folder}/spans"), spark.read.schema(SLOT).parquet(f"{folder}/slots"), False
+
+
+def _block_places(spans: DataFrame, slots: DataFrame) -> DataFrame:
+    """One row for each block: ``slot_source``, ``slot_block``, ``mix_slot``; long repeats are spread in two steps."""
+    each = slots.join(spans, ["phase", "source"]).where("first + nth < past")
+    each = each.withColumn("times", F.expr("(past - first - nth - 1) div weight + 1"))
+    each = each.withColumn("part", F.explode(F.expr(f"sequence(0L, (times - 1) div {REPEATS_AT_ONCE})")))
+    each = each.withColumn("time", F.explode(F.expr(f"sequence(part * {REPEATS_AT_ONCE}, least(times, (part + 1) * {REPEATS_AT_ONCE}) - 1)")))
+    return each.selectExpr("source as slot_source", "first + nth + time * weight as slot_block", "base + time * total + slot as mix_slot")
+
+
 def source_key(column: Column) -> Column:
     return F.coalesce(column, F.lit(""))
 
@@ -122,13 +181,11 @@ def mix(
     """
     spark = documents.sparkSession
     columns = [c for c in documents.columns if c.lower() not in ("mix_slot", "mix_row")]
-    total = {row["key"]: row["n"] for row in documents.groupBy(source_key(F.col(source)).alias("key")).agg(F.count(F.lit(1)).alias("n")).limit(MOST_SOURCES + 1).collect()}
-    if len(total) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
+    total = {row["key"]: row["n"] for row in documents.groupBy(source_key(F.col(source)).alias("key")).agg(F.count(F.lit(1)).alias("n")).collect()}
     weights = weights or flattened_weights(total)
     if missing := sorted(set(total) - {s for s, w in weights.items() if w > 0}):
         raise ValueError(f"sources without a weight: {missing[:10]}")
-    spans, slots = phases({s: -(-n // block_rows) for s, n in total.items()}, weights)
+    span, slot, small = _schedule(spark, {s: -(-n // block_rows) for s, n in total.items()}, weights)
 
     buckets = max(1, -(-sum(total.values()) // BUCKET_ROWS))
     rows = documents.select(F.struct(*(F.col(c) for c in columns)).alias("row"), source_key(F.col(source)).alias("key"), _order_key(id_column, text).alias("hash"))
@@ -139,12 +196,14 @@ def mix(
     ranked = rows.withColumn("nth", F.row_number().over(within) - 1).join(ahead, ["key", "bucket"])
     ranked = ranked.withColumn("nth", F.col("nth") + F.col("ahead"))
     ranked = ranked.withColumn("block", F.floor(F.col("nth") / block_rows)).withColumn("mix_row", (F.col("nth") % block_rows).cast("int"))
-    # bounded: at most MOST_SOURCES phases, each with at most all sources and one period of slots
-    span = _rows(spark, spans, "source string, phase int, first long, past long, weight long, total long, base long")
+    if not small:
+        # a block has few documents, so no key of this join is hot
+        places = _block_places(span, slot)
+        placed = ranked.join(places, (F.col("key") == F.col("slot_source")) & (F.col("block") == F.col("slot_block")))
+        return placed.select("row.*", "mix_slot", "mix_row")
+    # both have at most ROWS_AT_ONCE rows
     span = span.withColumnRenamed("source", "span_source")
-    slot = _rows(spark, slots, "phase int, source string, nth long, slot long").select(
-        F.col("phase").alias("slot_phase"), F.col("source").alias("slot_source"), F.col("nth").alias("slot_nth"), "slot"
-    )
+    slot = slot.select(F.col("phase").alias("slot_phase"), F.col("source").alias("slot_source"), F.col("nth").alias("slot_nth"), "slot")
     placed = ranked.join(
         F.broadcast(span), (F.col("key") == F.col("span_source")) & (F.col("block") >= F.col("first")) & (F.col("block") < F.col("past"))
     ).withColumn("step", F.col("block") - F.col("first"))

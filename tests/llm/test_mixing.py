@@ -60,6 +60,48 @@ def test_shares_in_every_prefix(spark):
             left = {s: n for s, n in left.items()}
 
 
+def plain(blocks, weights):
+    """Source and block of each slot, one slot after another."""
+    left, order = dict(sorted(blocks.items())), []
+    taken = dict.fromkeys(left, 0)
+    while left:
+        total, done, t = sum(weights[s] for s in left), dict.fromkeys(left, 0), 0
+        while all(left.values()):
+            ready = [(-(-(done[s] + 1) * total // weights[s]), s) for s in left if done[s] * total // weights[s] <= t]
+            source = min(ready)[1]
+            order.append((source, taken[source]))
+            done[source], taken[source], left[source], t = done[source] + 1, taken[source] + 1, left[source] - 1, t + 1
+        left = {s: n for s, n in left.items() if n}
+    return order
+
+
+@pytest.mark.parametrize("at_once", [mixing.ROWS_AT_ONCE, 2000])
+def test_1500_sources(spark, monkeypatch, at_once):
+    monkeypatch.setattr(mixing, "ROWS_AT_ONCE", at_once)
+    counts = {f"site{i:04}": 1 + i % 3 for i in range(1500)} | {"site0007": 2000}
+    rows = [(i, f"text {i % 5}", s) for s, n in counts.items() for i in range(n)]
+    found = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), block_rows=2).collect()
+    assert len(found) == len(rows)
+    order = plain({s: -(-n // 2) for s, n in counts.items()}, mixing.flattened_weights(counts))
+    assert {(r.mix_slot, r.source) for r in found} == {(slot, source) for slot, (source, _) in enumerate(order)}
+    assert len({(r.mix_slot, r.mix_row) for r in found}) == len(rows)
+
+
+@pytest.mark.parametrize("repeats", [mixing.REPEATS_AT_ONCE, 2])
+def test_stored_schedule_gives_the_same_rows(spark, monkeypatch, repeats):
+    monkeypatch.setattr(mixing, "ROWS_AT_ONCE", 0)
+    monkeypatch.setattr(mixing, "REPEATS_AT_ONCE", repeats)
+    folder = "/root/testdata/sf0.001"
+    same(QUERIES["op8_mixing"](spark, folder), *sql_rows(folder, ORACLES["op8_mixing"]))
+    counts = {"a": 3000, "b": 90, "c": 33}
+    rows = [(i, "", s) for s, n in counts.items() for i in range(n)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = mixing.mix(frame, {"a": 2, "b": 1, "c": 3}, block_rows=4).collect()
+    order = plain({s: -(-n // 4) for s, n in counts.items()}, {"a": 2, "b": 1, "c": 3})
+    assert {(r.mix_slot, r.source) for r in found} == {(slot, source) for slot, (source, _) in enumerate(order)}
+    assert len(found) == len(rows)
+
+
 def test_many_buckets_and_empty(spark, monkeypatch):
     monkeypatch.setattr(mixing, "BUCKET_ROWS", 3)
     monkeypatch.setattr(mixing, "BUCKET_GROUP", 4)
