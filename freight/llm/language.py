@@ -5,9 +5,9 @@ n-grams is trained.  A text gets the language whose codeword is nearest to the b
 each bit is weighted by how often its classifier was right on that language.  If the two
 nearest codewords are about as near, the text is ambiguous.
 
-The classifiers are fitted on a bounded, balanced sample of the labelled rows (``SAMPLE_ROWS``).  The
-sample's n-gram counts are made in tasks, so the driver gets vectors of fixed length; prediction is one
-pass over whole texts, without a shuffle.
+The classifiers are fitted on a bounded, balanced sample of the distinct labelled texts (``SAMPLE_ROWS``), in
+which copies of a text count once.  The sample's n-gram counts are made in tasks, so the driver gets one
+vector of bounded length for each sampled text; prediction is one pass over whole texts, without a shuffle.
 """
 
 from __future__ import annotations
@@ -18,12 +18,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from freight.llm.common import bound_batches
+from freight.llm.common import bound_batches, written
 
-#: Labelled rows on which the classifiers are fitted, about; each language gets an equal part.
+#: Labelled texts on which the classifiers are fitted; each language gets an equal part, at least one text.
 SAMPLE_ROWS = 4000
 #: Bins of hashed n-grams (a power of two), the longest n-gram, and code points counted at once.
 BINS_LOG2, LONGEST, POINTS_AT_ONCE = 12, 3, 1 << 20
@@ -31,8 +31,8 @@ BINS_LOG2, LONGEST, POINTS_AT_ONCE = 12, 3, 1 << 20
 STEPS, RATE, DECAY = 150, 0.3, 1e-5
 #: A text is ambiguous if its best language has a smaller score than this.
 CERTAIN = 0.5
-#: More learned languages than this are an error: the model must stay small.
-MOST_LANGUAGES = 1000
+#: Codes tried, and the agreements between codewords looked at in all tries, at most; sample vectors unpacked at once.
+TRIES, AGREEMENTS, VECTORS_AT_ONCE = 200, 1 << 24, 4096
 UNDETERMINED = "und"
 
 PREDICTED = "struct<lang_pred:string,score:double,ambiguous:boolean>"
@@ -86,14 +86,25 @@ def codewords(languages: int) -> np.ndarray:
         splits = np.arange(1, 1 << (languages - 1))
         return np.where(splits[None, :] >> np.arange(languages)[:, None] & 1, 1, -1).astype(np.float32)
     rng, best, far = np.random.default_rng(1), None, -1
-    for _ in range(200):
-        code = np.where(rng.random((languages, 10 * int(np.ceil(np.log2(languages))))) < 0.5, 1, -1)
-        agree = code @ code.T
-        np.fill_diagonal(agree, -code.shape[1])
+    length = 10 * int(np.ceil(np.log2(languages)))
+    for attempt in range(TRIES):
+        code = np.where(rng.random((languages, length)) < 0.5, np.float32(1), np.float32(-1))
         splits = np.abs(code.sum(axis=0)).max() < languages
-        if splits and (nearest := code.shape[1] - agree.max()) > far:
+        if splits and (nearest := length - _most_agreement(code)) > far:
             best, far = code, nearest
-    return best.astype(np.float32)
+        if best is not None and (attempt + 1) * languages**2 > AGREEMENTS:
+            break
+    return best
+
+
+def _most_agreement(code: np.ndarray) -> float:
+    """The largest inner product of two codewords."""
+    most = -float(code.shape[1])
+    for first in range(0, len(code), 1024):
+        agree = code[first : first + 1024] @ code.T
+        agree[np.arange(len(agree)), np.arange(first, first + len(agree))] = -code.shape[1]
+        most = max(most, float(agree.max()))
+    return most
 
 
 @dataclass
@@ -110,31 +121,56 @@ class Model:
         """The nearest language of each vector, and its share of the likelihood."""
         margins = vectors @ self.weights + self.bias
         # loss of each bit if the language were right: logistic, weighted
-        losses = np.einsum("ncb,cb->nc", np.logaddexp(0, -margins[:, None, :] * self.code), self.trust)
+        as_one, as_other = np.logaddexp(0, -margins), np.logaddexp(0, margins)
+        losses = as_one @ (self.trust * (self.code > 0)).T + as_other @ (self.trust * (self.code < 0)).T
         likely = np.exp(-(losses - losses.min(axis=1, keepdims=True)))
         best = losses.argmin(axis=1)
         return best, likely[np.arange(len(best)), best] / likely.sum(axis=1)
 
 
-def fit(vectors: np.ndarray, labels: list[str]) -> Model:
-    """Logistic classifiers of all bits at once, by gradient steps with momentum over the whole sample."""
+def _unpacked(packed: list[tuple[bytes, bytes]]) -> np.ndarray:
+    vectors = np.zeros((len(packed), 1 << BINS_LOG2), np.float32)
+    for vector, (bins, values) in zip(vectors, packed, strict=True):
+        vector[np.frombuffer(bins, np.uint16)] = np.frombuffer(values, np.float32)
+    return vectors
+
+
+def fit(packed: list[tuple[bytes, bytes]], labels: list[str]) -> Model:
+    """Logistic classifiers of all bits at once, by gradient steps with momentum over the whole sample.
+
+    The sample's vectors come as bins and values (see ``_packed``).
+    """
     languages = sorted(set(labels))
     code = codewords(len(languages))
     index = {language: i for i, language in enumerate(languages)}
     y = np.array([index[label] for label in labels], np.int64)
-    share = 1 / np.bincount(y, minlength=len(languages))[y] / max(1, len(languages))
-    target = code[y]
+    size = np.bincount(y, minlength=len(languages))
+    share = 1 / size[y] / max(1, len(languages))
     weights, bias = np.zeros((1 << BINS_LOG2, code.shape[1]), np.float32), np.zeros(code.shape[1], np.float32)
     speed, speed_bias = np.zeros_like(weights), np.zeros_like(bias)
+    pieces = [slice(first, first + VECTORS_AT_ONCE) for first in range(0, len(labels), VECTORS_AT_ONCE)]
+    # a sample of usual size is one piece and stays unpacked
+    whole = _unpacked(packed) if len(pieces) == 1 else None
+
+    def vectors(piece: slice) -> np.ndarray:
+        return _unpacked(packed[piece]) if whole is None else whole
+
     for _ in range(STEPS if code.shape[1] else 0):
-        margins = (vectors @ weights + bias) * target
-        pull = (target * share[:, None] / (1 + np.exp(margins))).astype(np.float32)
-        speed = 0.9 * speed + vectors.T @ pull - DECAY * weights
-        speed_bias = 0.9 * speed_bias + pull.sum(axis=0)
+        step, step_bias = np.zeros_like(weights), np.zeros_like(bias)
+        for piece in pieces:
+            x, target = vectors(piece), code[y[piece]]
+            margins = (x @ weights + bias) * target
+            pull = (target * share[piece, None] / (1 + np.exp(margins))).astype(np.float32)
+            step += x.T @ pull
+            step_bias += pull.sum(axis=0)
+        speed = 0.9 * speed + step - DECAY * weights
+        speed_bias = 0.9 * speed_bias + step_bias
         weights += 10 * RATE * speed
         bias += RATE * speed_bias
-    right = ((vectors @ weights + bias) * target > 0).astype(np.float64)
-    trust = np.array([right[y == i].mean(axis=0) for i in range(len(languages))]).reshape(code.shape)
+    right = np.zeros(code.shape)
+    for piece in pieces:
+        np.add.at(right, y[piece], (vectors(piece) @ weights + bias) * code[y[piece]] > 0)
+    trust = right / np.maximum(size, 1)[:, None]
     trust = trust * (trust > 0.5) + 1e-9
     # a codeword's weights sum to its length, so that losses of languages compare
     trust *= code.shape[1] / np.maximum(trust.sum(axis=1, keepdims=True), 1e-9)
@@ -142,9 +178,14 @@ def fit(vectors: np.ndarray, labels: list[str]) -> Model:
 
 
 def _packed(batches):
+    # bounded: only sampled texts come here
+    seen = set()
     for batch in batches:
         labels, keys, bins, values = [], [], [], []
         for label, key, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            if (label, key) in seen:
+                continue
+            seen.add((label, key))
             vector = features(text)
             if vector is not None:
                 used = np.flatnonzero(vector)
@@ -161,26 +202,27 @@ def _packed(batches):
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang", rows: int = SAMPLE_ROWS) -> Model:
     """A model from the rows of ``labelled`` that have a language and a text with a letter.
 
-    About ``rows`` of them are used, as many of each language as there are or an equal part, picked by
-    a hash of the text.  No such row: a model without languages, which finds none.
+    Of each language as many distinct texts are used as there are, or an equal part of ``rows`` (at least one),
+    those with the smallest hashes; copies of a text count once, however many they are.  Any number of
+    languages is learned; the model and the sample grow with it.  No such row: a model without
+    languages, which finds none.
     """
     bound_batches(labelled.sparkSession)
     labelled = labelled.select(F.col(lang).alias("label"), F.xxhash64(text).alias("key"), F.col(text).alias("text"))
-    labelled = labelled.where("label is not null and text is not null")
-    counts = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1).collect()}
-    if len(counts) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    if not counts:
-        return fit(np.zeros((0, 1 << BINS_LOG2), np.float32), [])
-    part = -(-rows // len(counts))
-    share = F.element_at(F.create_map(*(F.lit(x) for label, n in sorted(counts.items()) for x in (label, min(1.0, part / n)))), F.col("label"))
-    sampled = labelled.where(F.pmod(F.xxhash64("key", F.lit(1)), F.lit(1 << 30)) < share * (1 << 30))
-    packed = sampled.mapInArrow(_packed, "label string, key long, bins binary, vals binary").collect()
+    labelled = labelled.where(F.col("label").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    keys = written(labelled.select("label", "key").distinct(), "language_keys")
+    languages = keys.agg(F.countDistinct("label")).first()[0]
+    if not languages:
+        return fit([], [])
+    by_hash = Window.partitionBy("label").orderBy(F.xxhash64("key", F.lit(1)), "key")
+    picked = keys.withColumn("nth", F.row_number().over(by_hash)).where(F.col("nth") <= -(-rows // languages)).drop("nth")
+    # at most ``rows`` keys, and one more for each language
+    sampled = labelled.join(F.broadcast(picked), ["label", "key"])
+    packed = sampled.select("label", "key", "text").mapInArrow(_packed, "label string, key long, bins binary, vals binary")
+    # tasks return a text once each, this returns it once
+    packed = packed.groupBy("label", "key").agg(F.any_value(F.struct("bins", "vals")).alias("vector")).collect()
     packed.sort(key=lambda r: (r["label"], r["key"]))
-    vectors = np.zeros((len(packed), 1 << BINS_LOG2), np.float32)
-    for vector, row in zip(vectors, packed, strict=True):
-        vector[np.frombuffer(row["bins"], np.uint16)] = np.frombuffer(row["vals"], np.float32)
-    return fit(vectors, [row["label"] for row in packed])
+    return fit([(bytes(r["vector"]["bins"]), bytes(r["vector"]["vals"])) for r in packed], [r["label"] for r in packed])
 
 
 def predict(text: Column, model: Model) -> Column:
