@@ -31,6 +31,8 @@ BINS_LOG2, LONGEST, POINTS_AT_ONCE = 12, 3, 1 << 20
 STEPS, RATE, DECAY = 150, 0.3, 1e-5
 #: A text is ambiguous if its best language has a smaller score than this.
 CERTAIN = 0.5
+#: Parts of a language's texts that are ranked apart when the sample is drawn.
+SLICES = 64
 #: Codes tried, and the agreements between codewords looked at in all tries, at most; sample vectors unpacked at once.
 TRIES, AGREEMENTS, VECTORS_AT_ONCE = 200, 1 << 24, 4096
 UNDETERMINED = "und"
@@ -214,8 +216,12 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", rows: int
     languages = keys.agg(F.countDistinct("label")).first()[0]
     if not languages:
         return fit([], [])
-    by_hash = Window.partitionBy("label").orderBy(F.xxhash64("key", F.lit(1)), "key")
-    picked = keys.withColumn("nth", F.row_number().over(by_hash)).where(F.col("nth") <= -(-rows // languages)).drop("nth")
+    # the first of each slice, then the first of those: no task gets all texts of a language
+    picked, part = keys.withColumn("slice", F.pmod("key", F.lit(SLICES))), -(-rows // languages)
+    for within in (["label", "slice"], ["label"]):
+        by_hash = Window.partitionBy(*within).orderBy(F.xxhash64("key", F.lit(1)), "key")
+        picked = picked.withColumn("nth", F.row_number().over(by_hash)).where(F.col("nth") <= part).drop("nth")
+    picked = picked.drop("slice")
     # at most ``rows`` keys, and one more for each language
     sampled = labelled.join(F.broadcast(picked), ["label", "key"])
     packed = sampled.select("label", "key", "text").mapInArrow(_packed, "label string, key long, bins binary, vals binary")

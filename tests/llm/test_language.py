@@ -83,6 +83,13 @@ def test_fitting_in_pieces_equals_the_whole(spark, monkeypatch):
     assert np.allclose(whole.weights, pieces.weights, atol=1e-3) and np.allclose(whole.trust, pieces.trust, atol=0.05)
 
 
+def test_slices_do_not_change_the_sample(spark, monkeypatch):
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    sliced = language.train(documents, rows=60)
+    monkeypatch.setattr(language, "SLICES", 1)
+    assert np.array_equal(sliced.weights, language.train(documents, rows=60).weights)
+
+
 def test_1500_languages(spark):
     spelled = lambda i: "".join(chr(0x4E00 + (i * 7919 + j * 104729) % 20000) for j in range(12))
     rows = [(i, spelled(i), f"l{i:04}") for i in range(1500)]
