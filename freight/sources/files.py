@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from freight.workspace import shared_folder
+
 _TASKS_PER_CORE = 4
 
 
@@ -18,3 +22,66 @@ def listing(spark: SparkSession, folder: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
     files = files.coalesce(_TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
     return files.select("path", "length", F.col("modificationTime").alias("modified"))
+
+
+def listing_in_tasks(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows of ``listing``, found level by level in tasks: the driver learns only how many folders a level has.
+
+    For folders whose file list is too long for the driver.  A task lists some folders of a level with
+    pyarrow, which must be able to open the file system; each level is stored in the shared folder, so a
+    lost task lists its own folders again.  The files of one flat folder pass one task.  Names that
+    begin with a dot or an underscore (but for ``_column=value``) are left out, as are empty files, as Spark
+    leaves them out; a folder that does not exist is an error.
+    """
+    schema = "path string, length long, modified timestamp, is_folder boolean"
+    # A nested function ships to executors by value, so they need no copy of this package.
+    def list_folders(batches: Iterable) -> Iterator:
+        import pyarrow as pa
+        from pyarrow import fs
+
+        def found(folder: str) -> Iterator[tuple]:
+            if folder.startswith("file:"):
+                system, name = fs.LocalFileSystem(), "/" + folder[len("file:"):].lstrip("/")
+            else:
+                system, name = fs.FileSystem.from_uri(folder.replace("s3a://", "s3://", 1))
+            for info in system.get_file_info(fs.FileSelector(name)):
+                own = info.base_name
+                hidden = own.startswith(".") or own.startswith("_") and "=" not in own or own.endswith("._COPYING_")
+                is_folder = info.type == fs.FileType.Directory
+                if not hidden and (is_folder or info.size):
+                    modified = None if is_folder else info.mtime_ns // 1_000_000 * 1000
+                    yield f"{folder}/{own}", None if is_folder else info.size, modified, is_folder
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            types = pa.string(), pa.int64(), pa.timestamp("us", "UTC"), pa.bool_()
+            columns = zip(*rows) if rows else ((),) * len(types)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(column, kind) for column, kind in zip(columns, types)],
+                names=["path", "length", "modified", "is_folder"],
+            )
+
+        for batch in batches:
+            rows: list[tuple] = []
+            for folder in batch.column("path").to_pylist():
+                for row in found(folder):
+                    rows.append(row)
+                    if len(rows) == 10_000:
+                        yield batch_of(rows)
+                        rows = []
+            yield batch_of(rows)
+
+    root = folder.rstrip("/")
+    if "://" not in root and not root.startswith("file:"):
+        root = "file:" + root
+    elif root.startswith("file://"):
+        root = "file:/" + root[len("file:"):].lstrip("/")
+    most = _TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    store = shared_folder(spark, "listing")
+    levels, folders, n = [], spark.range(1).select(F.lit(root).alias("path")), 1
+    while n:
+        level = f"{store}/{len(levels)}"
+        folders.repartition(min(n, most), "path").mapInArrow(list_folders, schema).write.parquet(level)
+        levels.append(level)
+        folders = spark.read.schema(schema).parquet(level).where("is_folder").select("path")
+        n = folders.count()
+    return spark.read.schema(schema).parquet(*levels).where("not is_folder").select("path", "length", "modified")

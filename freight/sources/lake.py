@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from freight.contract import STAGED
 from freight.sources.drift import read_with_drift
-from freight.sources.files import listing
+from freight.sources.files import listing, listing_in_tasks
 
 
 def _table_of(folder: str) -> Column:
@@ -19,15 +19,19 @@ def _table_of(folder: str) -> Column:
     return F.substring_index(F.col("path").substr(after, F.length("path")), "/", 1)
 
 
-def table_paths(spark: SparkSession, folder: str) -> DataFrame:
-    """Files below ``folder``, an absolute path, with the table (sub-folder) each belongs to."""
-    return listing(spark, folder).select(_table_of(folder).alias("table_name"), "path", "length")
+def table_paths(spark: SparkSession, folder: str, in_tasks: bool = False) -> DataFrame:
+    """Files below ``folder``, an absolute path, with the table (sub-folder) each belongs to.
+
+    ``in_tasks`` lists them in tasks, for a lake whose file list is too long for the driver (see ``listing_in_tasks``).
+    """
+    files = (listing_in_tasks if in_tasks else listing)(spark, folder)
+    return files.select(_table_of(folder).alias("table_name"), "path", "length")
 
 
-def inventory(spark: SparkSession, folder: str) -> DataFrame:
-    """Tables below ``folder`` with their file count and size."""
+def inventory(spark: SparkSession, folder: str, in_tasks: bool = False) -> DataFrame:
+    """Tables below ``folder`` with their file count and size; ``in_tasks`` is as for ``table_paths``."""
     return (
-        table_paths(spark, folder)
+        table_paths(spark, folder, in_tasks)
         .groupBy("table_name")
         .agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
     )

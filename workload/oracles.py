@@ -203,6 +203,7 @@ ORACLES: dict[str, str] = {
     ),
     "registered_table_counts": f"select '{LOAD_DATE}' as loading_date, count(*) as n_loads from orders",
     "lake_inventory": _STAR_COUNTS.format(extra=", true as has_data"),
+    "lake_inventory_in_tasks": _STAR_COUNTS.format(extra=", true as has_data"),
     "registered_tables_counts": _STAR_COUNTS.format(extra=""),
     "drift_union": (
         f"{_LOADS} select * from loads union all by name select * exclude (pnl) from loads "

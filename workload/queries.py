@@ -294,6 +294,14 @@ def lake_inventory(spark, sf):
     return found.join(row_counts(read_tables(spark, folder)), "table_name")
 
 
+@query
+def lake_inventory_in_tasks(spark, sf):
+    """The same, with folders listed in tasks."""
+    folder = star_folder(spark, sf)
+    found = inventory(spark, folder, in_tasks=True).select("table_name", (F.col("bytes") > 0).alias("has_data"))
+    return found.join(row_counts(read_tables(spark, folder)), "table_name")
+
+
 @query
 def registered_tables_counts(spark, sf):
     """The same tables found by catalog name."""
