@@ -11,12 +11,15 @@ from freight.sources.drops import (
     rejected_rows,
     undeclared_columns,
 )
+from freight.sources.files import listing_in_tasks
 from freight.sources.lake import inventory, read_staged, read_tables, table_paths
+from freight.sources.maxima import stored_maxima
 
 __all__ = [
     "inventory",
     "latest_file",
     "latest_folder",
+    "listing_in_tasks",
     "read_csv",
     "read_latest_csv",
     "read_staged",
@@ -26,6 +29,7 @@ __all__ = [
     "register_table",
     "registered_tables",
     "rejected_rows",
+    "stored_maxima",
     "table_paths",
     "undeclared_columns",
     "unreadable_files",

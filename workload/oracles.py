@@ -254,6 +254,11 @@ ORACLES: dict[str, str] = {
         "cast(cast(max(delivery_date) as date) - interval 1 month as date) as month_earlier, "
         "cast(max(delivery_date) as date) - interval 1 month as month_earlier_at from flat"
     ),
+    "latest_delivery_by_statistics": (
+        f"{_FLAT} select max(delivery_date) as latest, "
+        "cast(cast(max(delivery_date) as date) - interval 1 month as date) as month_earlier, "
+        "cast(max(delivery_date) as date) - interval 1 month as month_earlier_at from flat"
+    ),
     "last_month_instant": _month_of_flat("delivery_date = {day}"),
     "last_month_day": _month_of_flat("cast(delivery_date as date) = cast({day} as date)"),
     "last_month_calendar": _month_of_flat(_CALENDAR_MONTH),

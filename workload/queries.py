@@ -51,6 +51,7 @@ from freight.sources import (
     register_table,
     registered_tables,
     rejected_rows,
+    stored_maxima,
     unreadable_files,
 )
 from freight.workspace import shared_folder
@@ -580,6 +581,13 @@ def latest_delivery(spark, sf):
     return month_before_latest(flatten_star(star(spark, sf, bucketed=True)), "delivery_date")
 
 
+@query
+def latest_delivery_by_statistics(spark, sf):
+    """The same from the footers of the written dimension, without reading its rows."""
+    folder = f"{star_folder(spark, sf)}/dim_delivery"
+    return month_before_latest(stored_maxima(spark, folder, "delivery_date", STAGED["delivery_date"].dataType), "delivery_date")
+
+
 @query
 def last_month_instant(spark, sf):
     return last_month_report(star(spark, sf), "instant", keys_checked=True)
