@@ -3,14 +3,18 @@
 from freight.plans.delivery_report import last_month_report
 from freight.plans.hand_over import hand_over_latest_drop
 from freight.plans.ingest import UndeclaredColumns, ingest, stage
+from freight.plans.publish import StarIncomplete, publish_star, published_star
 from freight.plans.star_schema import materialise_salted_fact, materialise_star
 
 __all__ = [
+    "StarIncomplete",
     "UndeclaredColumns",
     "hand_over_latest_drop",
     "ingest",
     "last_month_report",
     "materialise_salted_fact",
     "materialise_star",
+    "publish_star",
+    "published_star",
     "stage",
 ]

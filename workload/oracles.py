@@ -246,6 +246,7 @@ ORACLES: dict[str, str] = {
     "fact_hot_key": f"{_HOT} {_fact('hot', 'single')}",
     "fact_hot_key_bucketed": f"{_HOT} {_fact('hot', 'single')}",
     "star_tables": _STAR_COUNTS.format(extra=""),
+    "star_published": _STAR_COUNTS.format(extra=""),
     "star_flat": f"{_FLAT} select * from flat",
     "star_flat_bucketed": f"{_FLAT} select * from flat",
     "delivery_dates": f"{_FLAT} select distinct delivery_date from flat order by delivery_date desc",

@@ -38,7 +38,15 @@ from freight.operators import (
     unique,
     update_key_index,
 )
-from freight.plans import hand_over_latest_drop, ingest, last_month_report, materialise_salted_fact, stage
+from freight.plans import (
+    hand_over_latest_drop,
+    ingest,
+    last_month_report,
+    materialise_salted_fact,
+    publish_star,
+    published_star,
+    stage,
+)
 from freight.sinks import export_csv, export_csv_file, write_partitioned
 from freight.sources import (
     inventory,
@@ -525,6 +533,16 @@ def star_tables(spark, sf):
     return row_counts(star(spark, sf))
 
 
+@query
+def star_published(spark, sf):
+    """A star of few loads is published, then one of all; counted as a reader finds it."""
+    rows, folder = staged(spark, sf), shared_folder(spark, "published")
+    database = "published_" + folder.rsplit("-", 1)[1]
+    publish_star(rows.where(F.col(KEY) % 2 == 0), database, folder)
+    publish_star(rows, database, folder)
+    return row_counts(published_star(spark, database))
+
+
 @query
 def fact_written(spark, sf):
     """Every column of the fact as stored."""
