@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from freight.contract import LOAD_DATE, STAGED
 from freight.operators.staging import parse_datetimes, stamp_load_date
 from freight.sinks.parquet import write_partitioned
-from freight.sources.catalog import register_table
+from freight.sources.catalog import declares, register_table
 from freight.sources.drops import REJECTED, read_csv, rejected_rows, undeclared_columns
 from freight.sources.lake import read_staged
 
@@ -44,7 +44,7 @@ def ingest(
 
     Columns are found by the names in the header, or by ``rename`` from there to the
     contract.  The drop is read once, by the write.  ``table`` also registers the folder in the
-    catalog.  Repeating a load date replaces that date and keeps the others.
+    catalog, which lists the folder only the first time.  Repeating a load date replaces that date and keeps the others.
 
     Columns that the contract does not name are an error, or stored as text with
     ``undeclared="keep"``, or left out with ``undeclared="drop"``.  Rows with a value that does not
@@ -61,10 +61,13 @@ def ingest(
     )
     seen = Observation()
     counted = raw.observe(seen, F.count_if(F.col(REJECTED).isNotNull()).alias("rejected"))
-    write_partitioned(stage(counted.drop(REJECTED), load_date), folder, mode=mode)
+    written = write_partitioned(stage(counted.drop(REJECTED), load_date), folder, mode=mode)
     if rejected := seen.get["rejected"]:
         log.warning("%d rows of %s hold a value that does not fit", rejected, drop)
         if rejects:
             rejected_rows(raw).write.mode("overwrite").parquet(rejects)
     schema = T.StructType([*STAGED.fields[:-1], *(T.StructField(c, T.StringType()) for c in others), STAGED[LOAD_DATE]])
-    return register_table(spark, table, folder, schema) if table else read_staged(spark, folder, schema)
+    if not table:
+        return read_staged(spark, folder, schema)
+    known = declares(spark, table, folder, schema)  # then only this write is new
+    return register_table(spark, table, folder, schema, written=written if known else None)

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from freight.contract import KEY, LOAD_DATE
-from freight.sources.catalog import ensure_database
+from freight.sources.catalog import Written, ensure_database
 from freight.sources.files import listing
 
 _BUCKET_BYTES = 256 << 20
@@ -18,7 +18,7 @@ def write_partitioned(
     by: str | list[str] = LOAD_DATE,
     mode: str = "dynamic",
     rebalance: bool = False,
-) -> None:
+) -> Written:
     """Overwrite ``path`` as Parquet in one sub-folder per value of ``by``.
 
     ``dynamic`` replaces only the partitions present in ``df``; ``static`` replaces
@@ -26,12 +26,19 @@ def write_partitioned(
     which suits the usual single load date.  For many values set ``rebalance``: rows
     are brought together by value and adaptive execution splits a value that is too
     big for one task.
+
+    The partitions it made are returned, for ``register_table``.  They are seen by the write itself: tasks
+    gather the distinct values of ``by`` they write, so the driver holds as many as there are partitions.
     """
     if mode not in ("dynamic", "static"):
         raise ValueError("mode must be 'dynamic' or 'static'")
     keys = [by] if isinstance(by, str) else list(by)
-    rows = df.hint("rebalance", *[F.col(k) for k in keys]) if rebalance else df
+    seen = Observation()
+    values = F.collect_set(F.struct(*[F.nullif(F.col(f"`{k}`").cast("string"), F.lit("")).alias(k) for k in keys]))
+    observed = df.observe(seen, values.alias("partitions"))
+    rows = observed.hint("rebalance", *[F.col(f"`{k}`") for k in keys]) if rebalance else observed
     rows.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*keys).parquet(path)
+    return Written(tuple(keys), frozenset(tuple(row) for row in seen.get["partitions"]), mode == "static")
 
 
 def save_table(

@@ -1,6 +1,6 @@
 """Readers: CSV drops, Parquet folders, folder listings and catalog tables."""
 
-from freight.sources.catalog import register_table, registered_tables
+from freight.sources.catalog import Written, register_table, registered_tables
 from freight.sources.drift import read_with_drift, unreadable_files
 from freight.sources.drops import (
     latest_file,
@@ -16,6 +16,7 @@ from freight.sources.lake import inventory, read_staged, read_tables, table_path
 from freight.sources.maxima import stored_maxima
 
 __all__ = [
+    "Written",
     "inventory",
     "latest_file",
     "latest_folder",

@@ -276,18 +276,15 @@ def registered_table_counts(spark, sf):
 
 @query
 def registered_table_follows(spark, sf):
-    """One name, registered on a folder, on another, with a column more, and after a load date went."""
+    """One name, registered on a folder, on another with a column more, and after a load date went, by what the writes report."""
     first, second = shared_folder(spark, "lake"), shared_folder(spark, "lake")
     name = "follow_" + first.rsplit("-", 1)[1]
     rows = staged(spark, sf)
-    write_partitioned(rows, first)
-    register_table(spark, name, first)
-    for day in (LOAD_DATE, NEXT_LOAD_DATE):
-        write_partitioned(rows.withColumns({"note": F.lit("new"), "loading_date": F.lit(day)}), second)
+    register_table(spark, name, first, written=write_partitioned(rows, first))
+    noted = [rows.withColumns({"note": F.lit("new"), "loading_date": F.lit(day)}) for day in (LOAD_DATE, NEXT_LOAD_DATE)]
     wider = T.StructType([*STAGED.fields[:-1], T.StructField("note", T.StringType()), STAGED["loading_date"]])
-    register_table(spark, name, second, wider)
-    write_partitioned(rows.withColumns({"note": F.lit("new"), "loading_date": F.lit(NEXT_LOAD_DATE)}), second, mode="static")
-    found = register_table(spark, name, second, wider)
+    register_table(spark, name, second, wider, written=[write_partitioned(df, second) for df in noted])
+    found = register_table(spark, name, second, wider, written=write_partitioned(noted[1], second, mode="static"))
     partitions = spark.sql(f"SHOW PARTITIONS {name}").count()
     return found.groupBy("loading_date", "note").agg(F.count("*").alias("n_loads")).withColumn("n_partitions", F.lit(partitions))
 
