@@ -39,6 +39,8 @@ def ingest(
     rename: Mapping[str, str] | None = None,
     undeclared: str = "refuse",
     rejects: str | None = None,
+    line_breaks: bool = False,
+    mixed_headers: bool = False,
 ) -> DataFrame:
     """Read a CSV drop, stage it under ``folder`` and return the staged table.
 
@@ -50,14 +52,20 @@ def ingest(
     ``undeclared="keep"``, or left out with ``undeclared="drop"``.  Rows with a value that does not
     fit its type are staged with NULL there; the write counts them, a warning tells the
     number, and ``rejects`` names a folder for them, with their text, if there are any.
+
+    ``line_breaks`` and ``mixed_headers`` are those of ``read_csv``: values with line breaks inside quotes, files with
+    headers of their own.
     """
     if undeclared not in ("refuse", "keep", "drop"):
         raise ValueError("undeclared must be 'refuse', 'keep' or 'drop'")
-    others = [] if undeclared == "drop" else undeclared_columns(spark, drop, rename=rename)
+    others = [] if undeclared == "drop" else undeclared_columns(
+        spark, drop, rename=rename, line_breaks=line_breaks, mixed_headers=mixed_headers
+    )
     if others and undeclared == "refuse":
         raise UndeclaredColumns(f"the contract does not name {others}")
     raw = read_csv(
-        spark, drop, by_name=True, rename=rename, keep_rejected=True, keep_undeclared=bool(others)
+        spark, drop, by_name=True, rename=rename, keep_rejected=True, keep_undeclared=bool(others),
+        line_breaks=line_breaks, mixed_headers=mixed_headers,
     )
     seen = Observation()
     counted = raw.observe(seen, F.count_if(F.col(REJECTED).isNotNull()).alias("rejected"))

@@ -12,11 +12,15 @@ from freight.sources.drops import (
     undeclared_columns,
 )
 from freight.sources.files import listing_in_tasks
+from freight.sources.headers import headers
 from freight.sources.lake import inventory, read_staged, read_tables, table_paths
 from freight.sources.maxima import stored_maxima
+from freight.sources.records import csv_records
 
 __all__ = [
     "Written",
+    "csv_records",
+    "headers",
     "inventory",
     "latest_file",
     "latest_folder",

@@ -14,8 +14,7 @@ from pyspark.sql import types as T
 
 from freight.functions.casts import cast_or_null
 from freight.functions.lattice import common_type
-from freight.sources.files import listing
-from freight.workspace import shared_folder
+from freight.sources.files import grouped_paths, listing, stored
 
 log = logging.getLogger(__name__)
 
@@ -67,29 +66,12 @@ def unreadable_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _read_by_layout(spark: SparkSession, folder: str) -> list[DataFrame]:
-    # The driver gets a line for each folder and layout; the paths of files only for
-    # folders that hold several layouts, or sub-folders.  Schema texts stay behind as digests.
-    files = _footers(spark, folder).select(
-        "path", F.md5("layout").alias("layout"), F.regexp_replace("path", "/[^/]*$", "").alias("parent")
-    )
-    files = written(files, "footers")
-    kinds = files.groupBy("parent", "layout").agg(F.count("*").alias("files"), F.min("path").alias("path")).collect()
-    parents = [row.parent for row in kinds]
-    mixed = {p for p in parents if parents.count(p) > 1} if len(parents) > len(set(parents)) else set()
-    ordered = sorted(set(parents))
-    mixed |= {a for a, b in zip(ordered, ordered[1:]) if b.startswith(a + "/")}
-    by_layout: dict[str | None, list[str]] = {}
-    for row in kinds:
-        if row.layout is None:
-            log.warning("skipping %d files of %s that are not Parquet, such as %s", row.files, row.parent, row.path)
-        elif row.parent not in mixed:
-            by_layout.setdefault(row.layout, []).append(row.parent)
-    if mixed:
-        single = files.where(F.col("parent").isin(sorted(mixed)) & F.col("layout").isNotNull())
-        for row in single.select("path", "layout").collect():
-            by_layout.setdefault(row.layout, []).append(row.path)
+    # Schema texts stay behind as digests.
+    layouts = grouped_paths(stored(_footers(spark, folder).select("path", F.md5("layout").alias("kind")), "footers"))
+    if skipped := layouts.pop(None, None):
+        log.warning("skipping files that are not Parquet, in or at %s", min(skipped))
     reader = spark.read.option("basePath", folder)
-    return [reader.parquet(*sorted(paths)) for _, paths in sorted(by_layout.items())]
+    return [reader.parquet(*sorted(paths)) for _, paths in sorted(layouts.items())]
 
 
 def _footers(spark: SparkSession, folder: str) -> DataFrame:
@@ -124,13 +106,6 @@ def _footers(spark: SparkSession, folder: str) -> DataFrame:
     return files.mapInArrow(read_footers, "path string, layout string, reason string")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` stored in the shared folder and read again, so that footers are opened once."""
-    path = shared_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _targets(
     schemas: list[T.StructType], contract: T.StructType | None
 ) -> dict[str, T.DataType]:
