@@ -134,6 +134,18 @@ ORACLES: dict[str, str] = {
     "ingest_end_to_end": _STAGED_ROWS,
     "csv_roundtrip": _RAW_ROWS,
     "csv_by_name": _RAW_ROWS,
+    "csv_line_breaks": (
+        f"{_RAW} select * replace (shipper_name || chr(10) || 'c/o \"' || coalesce(carrier_name, 'nobody') || '\",' || chr(10) || chr(10) "
+        "|| 'Dock 1' as shipper_name, case when contracted_load then replace(lane, ' -> ', ' ->' || chr(10)) else lane end as lane) from raw"
+    ),
+    "csv_mixed_headers": (
+        f"{_RAW} select * replace (case when load_id % 3 < 2 then mileage end as mileage), "
+        "case when load_id % 3 = 2 then 'as sent' end as remark from raw"
+    ),
+    "ingest_new": (
+        f"{_LOADS} select load_id, case when load_id % 3 = 2 then '{NEXT_LOAD_DATE}' else '{LOAD_DATE}' end as loading_date, "
+        "delivery_date, true as run_0_took, false as run_1_took, true as run_2_took from loads"
+    ),
     "csv_headerless_report": f"{_FLAT} select * from flat",
     "latest_drop": f"{_RAW} select * replace ('second drop' as sourcing_channel) from raw",
     "deliver_csv": (

@@ -41,6 +41,7 @@ from freight.operators import (
 from freight.plans import (
     hand_over_latest_drop,
     ingest,
+    ingest_new_drops,
     last_month_report,
     materialise_salted_fact,
     publish_star,
@@ -143,6 +144,47 @@ def csv_by_name(spark, sf):
     return read_csv(spark, folder, by_name=True, rename={"shipment": KEY})
 
 
+@query
+def csv_line_breaks(spark, sf):
+    """Shippers and lanes with line breaks, quotes and commas inside; read by chunks of a file, not a task a file."""
+    folder = shared_folder(spark, "csv")
+    broken = {
+        "shipper_name": F.concat("shipper_name", F.lit('\nc/o "'), F.coalesce("carrier_name", F.lit("nobody")), F.lit('",\n\nDock 1')),
+        "lane": F.when(F.col("contracted_load"), F.replace("lane", F.lit(" -> "), F.lit(" ->\n"))).otherwise(F.col("lane")),
+    }
+    export_csv(loads_raw(spark, sf).withColumns(broken), folder)
+    return read_csv(spark, folder, line_breaks=True)
+
+
+@query
+def csv_mixed_headers(spark, sf):
+    """A drop of three kinds of files: as declared; reversed, with another name for the key; without a column, with another."""
+    folder, raw = shared_folder(spark, "csv"), loads_raw(spark, sf)
+    columns = [F.col(name).alias("shipment" if name == KEY else name) for name in reversed(RAW.names)]
+    odd = raw.drop("mileage").withColumn("remark", F.lit("as sent"))
+    parts = (raw, raw.select(*columns), odd)
+    for i, part in enumerate(parts):
+        key = "shipment" if "shipment" in part.columns else KEY
+        export_csv(part.where(F.col(key) % 3 == i), f"{folder}/part-{i}")
+    return read_csv(spark, folder, mixed_headers=True, rename={"shipment": KEY}, keep_undeclared=True)
+
+
+@query
+def ingest_new(spark, sf):
+    """Three runs over a folder of drops: two drops, nothing new, a third drop; every load is staged once."""
+    drops, lake, record = (shared_folder(spark, what) for what in ("drops", "lake", "record"))
+    raw = loads_raw(spark, sf)
+    third = F.col(KEY) % 3
+    for i in (0, 1):
+        export_csv(raw.where(third == i), f"{drops}/drop-{i}")
+    runs = [ingest_new_drops(spark, drops, lake, record, LOAD_DATE).where("status = 'taken'").count()]
+    runs.append(ingest_new_drops(spark, drops, lake, record, NEXT_LOAD_DATE).where("status = 'taken'").count())
+    export_csv(raw.where(third == 2), f"{drops}/drop-2")
+    runs.append(ingest_new_drops(spark, drops, lake, record, NEXT_LOAD_DATE).where("status = 'taken'").count())
+    took = [F.lit(n > 0).alias(f"run_{i}_took") for i, n in enumerate(runs)]
+    return read_staged(spark, lake).select(KEY, "loading_date", "delivery_date", *took)
+
+
 @query
 def csv_headerless_report(spark, sf):
     """The report export has no header row, so it is read back by position."""
