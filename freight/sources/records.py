@@ -12,13 +12,13 @@ _TAIL = -1  # marks the record that is open where a chunk ends; the others are n
 
 
 def csv_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """The records of CSV files: ``file``, ``first`` (the first record of its file) and ``record``, the text.
+    """The records of CSV files: ``record``, the text, and ``first``, whether it is the first of its file.
 
     A line break ends a record unless the number of quote signs before it in the file is odd.  Files are read as lines,
-    in chunks of ``spark.sql.files.maxPartitionBytes``.  One aggregate counts the quotes of each chunk, a running sum over the
-    chunks of a file tells which of them begin inside quotes, and one over the lines of a chunk which lines begin a
-    record.  Most records are one line and need nothing more.  The lines of the others meet by record, also across chunks: a
-    chunk through which no line closes the quotes passes its record on to the next.
+    in chunks of ``spark.sql.files.maxPartitionBytes``.  One aggregate counts the lines of each chunk that have an odd number of
+    quotes, a running sum over the chunks of a file tells which of them begin inside quotes, and one over the lines of
+    a chunk which lines begin a record.  Most records are one line and need nothing more.  The lines of the others meet
+    by record, also across chunks: a chunk through which no line closes the quotes passes its record on to the next.
 
     The text is read twice and shuffled once, by chunk, so no group is larger than a chunk, and a long file has as many tasks
     as chunks.  Only lines of broken records are shuffled again.  Empty lines between records are left out.  In a file
@@ -33,65 +33,57 @@ def csv_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
         "value",
-        (F.length("value") - F.length(F.replace(value, F.lit('"')))).alias("quotes"),
+        ((F.octet_length("value") - F.octet_length(F.replace(value, F.lit('"')))) % 2).alias("odd"),
     )
-    # An array is not pruned by item: both parts of the union then read the same columns, and share one shuffle.
-    placed = lines.join(_chunks(lines), ["file", "block"])
-    opened, ends_open, origin, two_signs = (F.col("state")[i] for i in range(4))
-
-    chunk = Window.partitionBy("file", "block")
-    so_far = chunk.orderBy("line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    odd = F.col("quotes") % 2 == 1
-    counted = placed.withColumn("inside", (opened + F.sum("quotes").over(so_far) - F.col("quotes")) % 2 == 1)
+    placed = lines.join(_chunks(lines), ["file", "block"]).select("chunk", "line", "value", "odd", "state")
+    opened, two_signs, origin, tail, block = (F.col("state")[i] for i in range(5))
+
+    so_far = Window.partitionBy("chunk").orderBy("line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    odd = F.col("odd") == 1
     text = F.when((two_signs == 1) & F.endswith("value", F.lit("\r")), F.expr("left(value, length(value) - 1)")).otherwise(value)
-    opens = odd & ~F.col("inside")
-    begins = ~F.col("inside") & (text != "")
-    flagged = counted.withColumns(
-        {
-            "number": F.count_if(opens).over(so_far),
-            "last": F.count_if(opens).over(chunk),
-            "first": (F.col("block") == 0) & (F.col("line") == F.min(F.when(begins, F.col("line"))).over(chunk)),
-        }
-    )
-    whole = flagged.where(begins & ~odd).select("file", "first", text.alias("record"))
-
-    carried = F.col("number") == 0
-    unfinished = (F.col("number") == F.col("last")) & (ends_open == 1)
-    broken = flagged.where(F.col("inside") | odd).select(
-        "file",
-        F.when(carried, origin).otherwise(F.col("block")).alias("from_block"),
-        F.when(carried | unfinished, F.lit(_TAIL)).otherwise(F.col("number")).alias("number"),
-        F.struct("block", "line", text.alias("text")).alias("part"),
-        "first",
+    counted = placed.withColumns({"turns": F.sum("odd").over(so_far), "filled": F.count_if(text != "").over(so_far)})
+    inside = (opened + F.col("turns") - F.col("odd")) % 2 == 1
+    first = (block == 0) & (F.col("filled") == 1) & (text != "")
+    whole = counted.where(~inside & ~odd & (text != "")).select(first.alias("first"), text.alias("record"))
+
+    number = F.expr("(turns + 1 - state[0]) div 2")  # of the records that lines of this chunk open; 0: the one open before
+    carried, unfinished = number == 0, number == tail
+    broken = counted.where(inside | odd).select(
+        F.when(carried, origin).otherwise(F.col("chunk")).alias("from_chunk"),
+        F.when(carried | unfinished, F.lit(_TAIL)).otherwise(number).alias("number"),
+        F.struct(block.alias("block"), "line", text.alias("text")).alias("part"),
+        first.alias("first"),
     )
     joined = F.array_join(F.transform(F.array_sort(F.collect_list("part")), lambda part: part["text"]), "\n")
-    mended = broken.groupBy("file", "from_block", "number").agg(F.max("first").alias("first"), joined.alias("record"))
-    return whole.unionByName(mended.select("file", "first", "record"))
+    mended = broken.groupBy("from_chunk", "number").agg(F.max("first").alias("first"), joined.alias("record"))
+    return whole.unionByName(mended.select("first", "record"))
 
 
 def _chunks(lines: DataFrame) -> DataFrame:
-    """One row a chunk, whose ``state`` is four numbers.
+    """One row a chunk: a number for it, and its ``state``.
 
-    They are 1 if it begins inside quotes, 1 if it ends inside quotes, the chunk in which the record open at its beginning
-    began, and 1 if the file's first line ends in a carriage return.
+    The state is 1 if the chunk begins inside quotes, 1 if the file's first line ends in a carriage return, the
+    chunk in which the record open at its beginning began, the number of the record that is open at its end (or -1), and its place in
+    the file.  An array is not pruned by item, so that both parts of the union above read the same columns and share one shuffle.
     """
-    odd = F.col("quotes") % 2 == 1
     returns = F.min_by(F.endswith("value", F.lit("\r")).cast("long"), "line")
     counted = lines.groupBy("file", "block").agg(
-        F.sum("quotes").alias("total"), F.max(odd).alias("turns"), returns.alias("returns")
+        F.sum("odd").alias("turns"), returns.alias("returns"), F.min("line").alias("chunk")
     )
     blocks = Window.partitionBy("file").orderBy("block")
     before = blocks.rowsBetween(Window.unboundedPreceding, -1)
     from_start = blocks.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    opened = counted.withColumn("open", F.coalesce(F.sum("total").over(before), F.lit(0)) % 2)
-    passes = (F.col("open") == 1) & ~F.col("turns")
+    opened = counted.withColumn("open", F.coalesce(F.sum("turns").over(before), F.lit(0)) % 2)
+    passes = (F.col("open") == 1) & (F.col("turns") == 0)
+    ends_open = (F.col("open") + F.col("turns")) % 2 == 1
     state = F.array(
         F.col("open"),
-        (F.col("open") + F.col("total")) % 2,
-        F.last(F.when(~passes, F.col("block")), ignorenulls=True).over(before),
         F.first("returns").over(from_start),
+        F.last(F.when(~passes, F.col("chunk")), ignorenulls=True).over(before),
+        F.when(ends_open, F.expr("(turns + 1 - open) div 2")).otherwise(F.lit(_TAIL)),
+        F.col("block"),
     )
-    return opened.select("file", "block", state.alias("state"))
+    return opened.select("file", "block", "chunk", state.alias("state"))
 
 
 def parsed_records(
