@@ -234,6 +234,15 @@ def test_bucketed_table_keeps_rows_without_a_key(spark, tmp_path):
             spark.conf.unset("spark.sql.sources.bucketing.maxBuckets")
 
 
+def test_a_bucket_stays_small_as_the_table_grows(spark, tmp_path):
+    for n in (1, 4):
+        folder = tmp_path / str(n)
+        folder.mkdir()
+        for i in range(n):
+            (folder / f"part-{i}.parquet").write_bytes(bytes(25 << 20))  # only the sizes of files count
+        assert (25 << 20) * n / bucket_count(spark, str(folder)) <= 16 << 20
+
+
 def test_inventory_and_tables(spark, tmp_path):
     lake = tmp_path / "lake"
     spark.range(10).repartition(3).write.parquet(str(lake / "one"))
