@@ -142,11 +142,11 @@ def _present(spark: SparkSession, folder: str) -> bool:
 
 
 def raw_drop(spark: SparkSession, sf_dir: str) -> str:
-    """Folder of the raw drop, CSV with a header."""
+    """Folder of the raw drop, CSV with a header, packed: as text it is the largest of all that is written."""
 
     def write() -> str:
         folder = shared_folder(spark, "raw")
-        export_csv(loads_from_tables(spark, sf_dir), folder)
+        export_csv(loads_from_tables(spark, sf_dir), folder, compression="gzip")
         return folder
 
     return _once(spark, sf_dir, "raw", write)
