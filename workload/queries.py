@@ -216,8 +216,8 @@ def _odd_drop(spark, sf):
 def deliver_csv(spark, sf):
     """What is delivered is the drop's own columns and values; here they are read under their types."""
     folder = shared_folder(spark, "drops")
-    export_csv(_odd_drop(spark, sf), f"{folder}/drop-1")
-    sent = hand_over_latest_drop(spark, folder, shared_folder(spark, "delivery"))
+    export_csv(_odd_drop(spark, sf), f"{folder}/drop-1", compression="gzip")
+    sent = hand_over_latest_drop(spark, folder, shared_folder(spark, "delivery"), compression="gzip")
     typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in RAW if f.name != "equipment_type"]
     note = F.when(F.col("book_price").try_cast("double").isNull(), F.col("book_price"))
     return sent.select(*typed, "remark", note.alias("price_note"), F.lit(len(sent.columns)).alias("n_columns"))
