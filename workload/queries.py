@@ -176,10 +176,10 @@ def ingest_new(spark, sf):
     raw = loads_raw(spark, sf)
     third = F.col(KEY) % 3
     for i in (0, 1):
-        export_csv(raw.where(third == i), f"{drops}/drop-{i}")
+        export_csv(raw.where(third == i), f"{drops}/drop-{i}", compression="gzip")
     runs = [ingest_new_drops(spark, drops, lake, record, LOAD_DATE).where("status = 'taken'").count()]
     runs.append(ingest_new_drops(spark, drops, lake, record, NEXT_LOAD_DATE).where("status = 'taken'").count())
-    export_csv(raw.where(third == 2), f"{drops}/drop-2")
+    export_csv(raw.where(third == 2), f"{drops}/drop-2", compression="gzip")
     runs.append(ingest_new_drops(spark, drops, lake, record, NEXT_LOAD_DATE).where("status = 'taken'").count())
     took = [F.lit(n > 0).alias(f"run_{i}_took") for i, n in enumerate(runs)]
     return read_staged(spark, lake).select(KEY, "loading_date", "delivery_date", *took)
