@@ -82,6 +82,46 @@ def test_one_file_is_read_by_many_tasks_and_shuffled_once(spark, tmp_path, chunk
     assert "ReusedExchange" in found._jdf.queryExecution().executedPlan().toString()
 
 
+def shuffled_rows(plan):
+    """Rows that the exchanges of an executed plan wrote."""
+    if plan.nodeName().startswith("AdaptiveSparkPlan"):
+        return shuffled_rows(plan.executedPlan())
+    if "QueryStage" in plan.nodeName():
+        return shuffled_rows(plan.plan())
+    metrics, children = plan.metrics(), plan.children()
+    own = metrics.apply("shuffleRecordsWritten").value() if metrics.contains("shuffleRecordsWritten") else 0
+    return own + sum(shuffled_rows(children.apply(i)) for i in range(children.size()))
+
+
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_only_lines_of_records_over_two_chunks_are_shuffled(spark, tmp_path, chunks, broadcast):
+    rows = "".join(f'{i},"a\nb\n\nc",1,x\n' for i in range(4000))
+    path = write(tmp_path / "a.csv", "id,name,price,note\n" + rows)
+    chunks("4000")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        found = csv_records(spark, path)
+        assert len(found.collect()) == 4001
+        pieces = spark.read.option("lineSep", "\n").text(path).rdd.getNumPartitions()
+        assert pieces > 15 and shuffled_rows(found._jdf.queryExecution().executedPlan()) < 16 * pieces < 16_001 / 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("batch", ["1", "2", "7"])
+def test_records_over_many_batches(spark, tmp_path, chunks, batch):
+    rng = random.Random(batch)
+    for i in range(3):
+        write(tmp_path / f"f{i}.csv", awkward(rng, "\n", 60))
+    chunks("700")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        found = rows_of(read_csv(spark, str(tmp_path), SMALL, line_breaks=True))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert found == rows_of(read_csv(spark, str(tmp_path), SMALL, multiLine=True))
+
+
 def test_edges(spark, tmp_path):
     write(tmp_path / "empty.csv", "")
     write(tmp_path / "blank.csv", "\n\n")
